@@ -47,7 +47,9 @@ def write_quarantine(bad: DataFrame, path: str, *, fmt: str = "csv",
     """
     w = _writer(bad, ["file_name"], mode)
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        # Raw lines keep their blanks and tabs (the CSV writer trims by default).
+        w.options(header="true", ignoreLeadingWhiteSpace="false",
+                  ignoreTrailingWhiteSpace="false").csv(path)
     else:
         w.format(fmt).save(path)
 
