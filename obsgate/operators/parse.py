@@ -38,18 +38,16 @@ def _tokens(value: Column, layout: Layout, delimiter: str) -> Column:
     )
 
 
-def _layout_exprs(tok: Column, layout: Layout, policy: str):
-    """Typed columns, arity flag and type flag of one layout's token struct."""
-    typed, failed = {}, []
+def _layout_exprs(tok: Column, layout: Layout, prefix: str) -> dict[str, Column]:
+    """Typed columns plus arity and type flags of one layout's token struct."""
+    out, failed = {}, []
     for name, dtype in layout.fields:
         v, bad = typed_token(tok[name], dtype)
-        typed[name] = v
+        out[f"{prefix}{name}"] = v
         failed.append(bad)
-    arity_bad = tok[CORRUPT].isNotNull()
-    type_bad = reduce(lambda a, b: a | b, failed)
-    if policy == "null_row":
-        typed = {n: F.when(~type_bad, v) for n, v in typed.items()}
-    return typed, arity_bad, type_bad
+    out[f"{prefix}arity"] = tok[CORRUPT].isNotNull()
+    out[f"{prefix}type"] = reduce(lambda a, b: a | b, failed)
+    return out
 
 
 def _error_class(arity_bad: Column, type_bad: Column) -> Column:
@@ -83,8 +81,8 @@ def parse_by_layout(
         raise ValueError(f"policy must be one of {POLICIES}")
     if len(layouts) > 1 and layout_col is None:
         raise ValueError("layout_col is required with more than one layout")
-    value = F.col(value_col)
-    lines = df.filter(value.rlike(NON_BLANK))
+    value_col_expr = F.col(value_col)
+    lines = df.filter(value_col_expr.rlike(NON_BLANK))
 
     # Tokenise once per row. The token structs are produced by a Generate
     # (inline of a one-element array) so they become plain attributes:
@@ -92,45 +90,57 @@ def parse_by_layout(
     # pushed-down filters and the line is re-tokenised dozens of times.
     tok_cols = {}
     for i, (key, layout) in enumerate(layouts.items()):
-        tok = _tokens(value, layout, delimiter)
+        tok = _tokens(value_col_expr, layout, delimiter)
         if layout_col is not None:
             tok = F.when(F.col(layout_col) == key, tok)
         tok_cols[key] = (f"__tok{i}", tok)
     lines = lines.select(
         "*", F.inline(F.array(F.struct(*[t.alias(n) for n, t in tok_cols.values()])))
     )
-    per_layout = {
-        key: _layout_exprs(F.col(tok_cols[key][0]), layout, policy)
-        for key, layout in layouts.items()
-    }
+    # Typed values and flags per layout, materialised the same way: filters
+    # downstream (good rows, acceptable rows) then test plain attributes
+    # instead of re-running every token check inside the pushed-down filter.
+    typed: dict[str, Column] = {}
+    prefixes = {}
+    for i, (key, layout) in enumerate(layouts.items()):
+        prefixes[key] = f"__p{i}_"
+        typed.update(_layout_exprs(F.col(tok_cols[key][0]), layout, prefixes[key]))
+    tok_names = {n for n, _ in tok_cols.values()}
+    lines = lines.select(
+        *[c for c in lines.columns if c not in tok_names],
+        F.inline(F.array(F.struct(*[v.alias(n) for n, v in typed.items()]))),
+    )
 
     def pick(get) -> Column:
         if layout_col is None:
-            return get(next(iter(per_layout.values())))
+            return get(next(iter(layouts)))
         expr = None
-        for key, parts in per_layout.items():
-            v = get(parts)
+        for key in layouts:
+            v = get(key)
             if v is None:
                 continue
             cond = F.col(layout_col) == key
             expr = F.when(cond, v) if expr is None else expr.when(cond, v)
         return expr
 
+    def value(key: str, name: str) -> Column | None:
+        if name not in layouts[key].names:
+            return None
+        v = F.col(prefixes[key] + name)
+        return F.when(~F.col(prefixes[key] + "type"), v) if policy == "null_row" else v
+
     out_fields: dict[str, object] = {}
     for layout in layouts.values():
         for name, dtype in layout.fields:
             out_fields.setdefault(name, dtype)
 
-    arity = pick(lambda p: p[1])
-    typ = pick(lambda p: p[2])
+    arity = pick(lambda k: F.col(prefixes[k] + "arity"))
+    typ = pick(lambda k: F.col(prefixes[k] + "type"))
     err = _error_class(F.coalesce(arity, F.lit(False)), F.coalesce(typ, F.lit(False)))
-    cols = {
-        name: pick(lambda p, n=name: p[0].get(n)).cast(dtype)
-        for name, dtype in out_fields.items()
-    }
+    cols = {name: pick(lambda k, n=name: value(k, n)).cast(dtype) for name, dtype in out_fields.items()}
     cols[ERROR_CLASS] = err
-    cols[CORRUPT] = F.when(err.isNotNull(), value)
-    return lines.withColumns(cols).drop(*[n for n, _ in tok_cols.values()])
+    cols[CORRUPT] = F.when(err.isNotNull(), value_col_expr)
+    return lines.withColumns(cols).drop(*typed)
 
 
 def parse_lines(

@@ -42,7 +42,7 @@ from obsgate.plans.pressure import load_pressure, parse_pressure, pressure_files
 from obsgate.plans.temperature import load_temperature, parse_temperature, temperature_files
 from obsgate.sinks.parquet import scratch_path, write_quarantine, write_table
 from obsgate.sources.registry import PRESSURE_C, PRESSURE_CANONICAL, TEMPERATURE
-from obsgate.sources.text import with_provenance
+from obsgate.sources.text import spread, with_provenance
 
 TAB = "\t"
 OBS = ["OBSERVATION1", "OBSERVATION2", "OBSERVATION3"]
@@ -84,7 +84,8 @@ def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     k%97=0) one token too many; k%89=0 first reading 'XXX'; k%79=0 year with
     trailing blanks; k%83=0 third reading blank.
     """
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus"))
     k = F.col("o_orderkey")
     y = _s(F.year("o_orderdate"))
     t_year = F.when(k % 79 == 0, F.concat(y, F.lit("  "))).otherwise(y)
@@ -108,7 +109,9 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     acceptable); k%19=0 blank year and seven tokens; k%13=0 blank noon
     reading (right arity, not acceptable); k%17=0 morning reading 'XXX'.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate"))
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     y = _s(F.year("l_shipdate"))
     t_year = F.when(k % 19 == 0, F.lit("")).otherwise(y)
@@ -161,19 +164,26 @@ def pressure_archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing, k%89=0 o1 'XXX', k%83=0 o3 blank. 1938_1960 cycles over 22 of
     its 23 years (fails coverage); the ``_copy`` file is not in the registry.
     """
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority"))
     k = F.col("o_orderkey")
-    fname = archive_file(F.col("o_orderpriority"), F.col("o_orderstatus"))
-    start = F.lit(None).cast("int")
-    span = F.lit(None).cast("int")
-    for name, first, years in ARCHIVE_FILES:
-        start = F.when(fname == name, F.lit(first)).otherwise(start)
-        span = F.when(fname == name, F.lit(years)).otherwise(span)
-    p = _dec2(F.col("o_totalprice"))
-    o1 = F.when(k % 89 == 0, F.lit("XXX")).otherwise(F.expr("substring(p, 1, length(p) - 1)"))
+    firsts = F.create_map(*[F.lit(x) for name, first, _ in ARCHIVE_FILES for x in (name, first)])
+    spans = F.create_map(*[F.lit(x) for name, _, years in ARCHIVE_FILES for x in (name, years)])
+    step = o.select(
+        k,
+        archive_file(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("file_name"),
+        F.month("o_orderdate").alias("m"),
+        F.dayofmonth("o_orderdate").alias("d"),
+        _dec2(F.col("o_totalprice")).alias("p"),
+        "o_custkey",
+    )
+    fname = F.col("file_name")
+    year = F.element_at(firsts, fname) + k % F.element_at(spans, fname)
+    p = F.col("p")
+    o1 = F.when(k % 89 == 0, F.lit("XXX")).otherwise(F.substring(p, 1, F.length(p) - 1))
     o2 = _s(F.col("o_custkey"))
     o3 = F.when(k % 83 == 0, F.lit("")).otherwise(_s(k))
-    date = [_s(start + (k % span)), _s(F.month("o_orderdate")), _s(F.dayofmonth("o_orderdate"))]
+    date = [_s(year), _s(F.col("m")), _s(F.col("d"))]
     nan = F.lit("NaN")
     layout_a = F.array(*date, o1, F.lit("13.0"), o1, o2, F.lit("18.0"), o2, o3, F.lit("17.9"), o3)
     layout_b = F.array(*date, o1, nan, o2, nan, o3, nan)
@@ -184,10 +194,7 @@ def pressure_archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(layout_c)
     )
     toks = F.when(k % 97 == 0, F.slice(toks, 1, F.size(toks) - 1)).otherwise(toks)
-    return (
-        o.withColumn("p", p)
-        .select(F.concat_ws(TAB, toks).alias("value"), fname.alias("file_name"))
-    )
+    return step.select(F.concat_ws(TAB, toks).alias("value"), fname)
 
 
 # ---------------------------------------------------------------------------

@@ -35,6 +35,16 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bo
     )
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's parallelism) when it has fewer, e.g. a table stored as one row
+    group. Large inputs already scan in many splits and pass through
+    unchanged, so at scale this adds no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def lines_from_columns(df: DataFrame, file_name: Column, tokens: Sequence[Column],
                        delimiter: str = "\t") -> DataFrame:
     """Render table rows as delimited text lines ``(value, file_name)``.
