@@ -82,7 +82,6 @@ def parse_by_layout(
     if len(layouts) > 1 and layout_col is None:
         raise ValueError("layout_col is required with more than one layout")
     value_col_expr = F.col(value_col)
-    lines = df.filter(value_col_expr.rlike(NON_BLANK))
 
     # Tokenise once per row. The token structs are produced by a Generate
     # (inline of a one-element array) so they become plain attributes:
@@ -94,9 +93,14 @@ def parse_by_layout(
         if layout_col is not None:
             tok = F.when(F.col(layout_col) == key, tok)
         tok_cols[key] = (f"__tok{i}", tok)
-    lines = lines.select(
-        "*", F.inline(F.array(F.struct(*[t.alias(n) for n, t in tok_cols.values()])))
-    )
+    # The blank-line filter tests the generated copy of the line, so Catalyst
+    # cannot push it below the Generate (into an upstream scan stage, where
+    # it would re-derive a computed line just to test it).
+    lines = df.select(
+        "*",
+        F.inline(F.array(F.struct(value_col_expr.alias("__line"),
+                                  *[t.alias(n) for n, t in tok_cols.values()]))),
+    ).filter(F.col("__line").rlike(NON_BLANK)).drop("__line")
     # Typed values and flags per layout, materialised the same way: filters
     # downstream (good rows, acceptable rows) then test plain attributes
     # instead of re-running every token check inside the pushed-down filter.
