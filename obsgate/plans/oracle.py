@@ -431,3 +431,24 @@ ORACLE = {
     "temperature_load": TEMPERATURE_LOAD,
     "load_status": LOAD_STATUS,
 }
+
+_TYPE_NAMES = "CASE {c} WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'bigint' " \
+              "WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower({c}) END"
+
+SCHEMA_INTEGRITY = f"""
+WITH s AS (
+  SELECT column_name, column_type, row_number() OVER () - 1 AS pos
+  FROM (DESCRIBE SELECT YEAR, MONTH, DAY, OBSERVATION1, OBSERVATION2, OBSERVATION3
+                 FROM ({PARSE_LINES_GOOD}))),
+t AS (
+  SELECT column_name, column_type, row_number() OVER () - 1 AS pos
+  FROM (DESCRIBE SELECT YEAR, MONTH, DAY, OBSERVATION1, OBSERVATION2, OBSERVATION3
+                 FROM ({CONVERT_ROUND})))
+SELECT CAST(COALESCE(s.pos, t.pos) AS INTEGER) AS position,
+       s.column_name AS source_name, {_TYPE_NAMES.format(c='s.column_type')} AS source_type,
+       t.column_name AS target_name, {_TYPE_NAMES.format(c='t.column_type')} AS target_type,
+       COALESCE(lower(s.column_name) = lower(t.column_name) AND s.column_type = t.column_type, false) AS matches
+FROM s FULL JOIN t ON s.pos = t.pos
+"""
+
+ORACLE["schema_integrity"] = SCHEMA_INTEGRITY
