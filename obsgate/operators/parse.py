@@ -19,11 +19,10 @@ Policies for rows with a TYPE failure:
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from obsgate.functions.tokens import NON_BLANK, typed_token
+from obsgate.functions.tokens import NON_BLANK, typed_token_sql
 from obsgate.sources.registry import Layout
 
 CORRUPT = "_corrupt_record"
@@ -38,26 +37,22 @@ def _tokens(value: Column, layout: Layout, delimiter: str) -> Column:
     )
 
 
-def _layout_exprs(tok: Column, layout: Layout, prefix: str) -> dict[str, Column]:
-    """Typed columns plus arity and type flags of one layout's token struct."""
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _layout_exprs(tok: str, layout: Layout, prefix: str) -> dict[str, str]:
+    """SQL for the typed columns plus arity and type flags of one layout's tokens."""
     out, failed = {}, []
     for name, dtype in layout.fields:
-        v, bad = typed_token(tok[name], dtype)
-        out[f"{prefix}{name}"] = v
+        v, bad = typed_token_sql(f"{_q(tok)}.{_q(name)}", dtype)
+        out[prefix + name] = v
         failed.append(bad)
-    out[f"{prefix}arity"] = tok[CORRUPT].isNotNull()
-    out[f"{prefix}type"] = reduce(lambda a, b: a | b, failed)
+    out[prefix + "arity"] = f"({_q(tok)}.{_q(CORRUPT)} IS NOT NULL)"
+    out[prefix + "type"] = "(" + " OR ".join(failed) + ")"
     return out
 
 
-def _error_class(arity_bad: Column, type_bad: Column) -> Column:
-    return (
-        F.when(arity_bad & type_bad, F.lit("ARITY_TYPE"))
-        .when(arity_bad, F.lit("ARITY"))
-        .when(type_bad, F.lit("TYPE"))
-    )
-
-
 def parse_by_layout(
     df: DataFrame,
     layouts: Mapping[str, Layout],
@@ -82,6 +77,7 @@ def parse_by_layout(
     if len(layouts) > 1 and layout_col is None:
         raise ValueError("layout_col is required with more than one layout")
     value_col_expr = F.col(value_col)
+    keys = list(layouts)
 
     # Tokenise once per row. The token structs are produced by a Generate
     # (inline of a one-element array) so they become plain attributes:
@@ -91,7 +87,7 @@ def parse_by_layout(
     for i, (key, layout) in enumerate(layouts.items()):
         tok = _tokens(value_col_expr, layout, delimiter)
         if layout_col is not None:
-            tok = F.when(F.col(layout_col) == key, tok)
+            tok = F.when(F.col(layout_col) == F.lit(key), tok)
         tok_cols[key] = (f"__tok{i}", tok)
     # The blank-line filter tests the generated copy of the line, so Catalyst
     # cannot push it below the Generate (into an upstream scan stage, where
@@ -100,51 +96,51 @@ def parse_by_layout(
         "*",
         F.inline(F.array(F.struct(value_col_expr.alias("__line"),
                                   *[t.alias(n) for n, t in tok_cols.values()]))),
-    ).filter(F.col("__line").rlike(NON_BLANK)).drop("__line")
+    ).filter(F.col("__line").rlike(NON_BLANK))
+
     # Typed values and flags per layout, materialised the same way: filters
     # downstream (good rows, acceptable rows) then test plain attributes
     # instead of re-running every token check inside the pushed-down filter.
-    typed: dict[str, Column] = {}
+    # Expressions are written as SQL text: one JVM call per step instead of
+    # several per column.
+    typed: dict[str, str] = {}
     prefixes = {}
     for i, (key, layout) in enumerate(layouts.items()):
         prefixes[key] = f"__p{i}_"
-        typed.update(_layout_exprs(F.col(tok_cols[key][0]), layout, prefixes[key]))
-    tok_names = {n for n, _ in tok_cols.values()}
-    lines = lines.select(
-        *[c for c in lines.columns if c not in tok_names],
-        F.inline(F.array(F.struct(*[v.alias(n) for n, v in typed.items()]))),
-    )
+        typed.update(_layout_exprs(tok_cols[key][0], layout, prefixes[key]))
+    drop = {n for n, _ in tok_cols.values()} | {"__line"}
+    inline = "inline(array(struct(" + ", ".join(f"{e} AS {_q(n)}" for n, e in typed.items()) + ")))"
+    lines = lines.select(*[F.col(_q(c)) for c in lines.columns if c not in drop], F.expr(inline))
 
-    def pick(get) -> Column:
+    def pick(get) -> str:
         if layout_col is None:
-            return get(next(iter(layouts)))
-        expr = None
-        for key in layouts:
-            v = get(key)
-            if v is None:
-                continue
-            cond = F.col(layout_col) == key
-            expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-        return expr
-
-    def value(key: str, name: str) -> Column | None:
+            return get(keys[0])
+        branches = [(k, get(k)) for k in keys]
+        whens = " ".join(f"WHEN {_q(layout_col)} = '{k}' THEN {v}" for k, v in branches if v is not None)
+        return f"CASE {whens} END"
+
+    def value(key: str, name: str) -> str | None:
         if name not in layouts[key].names:
             return None
-        v = F.col(prefixes[key] + name)
-        return F.when(~F.col(prefixes[key] + "type"), v) if policy == "null_row" else v
+        v = _q(prefixes[key] + name)
+        return f"CASE WHEN NOT {_q(prefixes[key] + 'type')} THEN {v} END" if policy == "null_row" else v
 
-    out_fields: dict[str, object] = {}
+    out_fields: dict[str, T.DataType] = {}
     for layout in layouts.values():
         for name, dtype in layout.fields:
             out_fields.setdefault(name, dtype)
 
-    arity = pick(lambda k: F.col(prefixes[k] + "arity"))
-    typ = pick(lambda k: F.col(prefixes[k] + "type"))
-    err = _error_class(F.coalesce(arity, F.lit(False)), F.coalesce(typ, F.lit(False)))
-    cols = {name: pick(lambda k, n=name: value(k, n)).cast(dtype) for name, dtype in out_fields.items()}
-    cols[ERROR_CLASS] = err
-    cols[CORRUPT] = F.when(err.isNotNull(), value_col_expr)
-    return lines.withColumns(cols).drop(*typed)
+    arity = f"coalesce({pick(lambda k: _q(prefixes[k] + 'arity'))}, false)"
+    typ = f"coalesce({pick(lambda k: _q(prefixes[k] + 'type'))}, false)"
+    err = (f"CASE WHEN {arity} AND {typ} THEN 'ARITY_TYPE' WHEN {arity} THEN 'ARITY' "
+           f"WHEN {typ} THEN 'TYPE' END")
+    exprs = [f"CAST({pick(lambda k, n=name: value(k, n))} AS {dtype.simpleString()}) AS {_q(name)}"
+             for name, dtype in out_fields.items()]
+    exprs.append(f"{err} AS {_q(ERROR_CLASS)}")
+    exprs.append(f"CASE WHEN {err} IS NOT NULL THEN {_q(value_col)} END AS {_q(CORRUPT)}")
+    new_names = set(out_fields) | {ERROR_CLASS, CORRUPT}
+    keep = [_q(c) for c in lines.columns if c not in typed and c not in new_names]
+    return lines.selectExpr(*keep, *exprs)
 
 
 def parse_lines(
