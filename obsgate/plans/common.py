@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from obsgate.sources.text import read_lines
 
@@ -45,21 +46,36 @@ def as_lines(spark: SparkSession, source: str | Sequence[str] | DataFrame) -> Da
     return read_lines(spark, source).select("value", "file_name")
 
 
-def file_counts(files: DataFrame) -> dict[str, int]:
-    """Totals over the per-file verdict table (one small aggregate job)."""
-    from pyspark.sql import functions as F
-
-    row = files.agg(
-        F.count(F.lit(1)).alias("files_seen"),
-        F.count_if(F.col("reason").isNull()).alias("files_accepted"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("lines_read"),
-    ).first()
-    return {
-        "files_seen": int(row["files_seen"]),
-        "files_accepted": int(row["files_accepted"]),
-        "files_rejected": int(row["files_seen"] - row["files_accepted"]),
-        "lines_read": int(row["lines_read"]),
-    }
+def count_all(measures: dict[str, tuple[DataFrame, Column]]) -> dict[str, int]:
+    """Evaluate several one-row aggregates in ONE job.
+
+    Each measure is ``(frame, aggregate expression)``; the one-row results are
+    unioned (no cross join) and collected together: a handful of numbers.
+    """
+    parts = [
+        df.agg(expr.cast("long").alias("value")).select(F.lit(name).alias("measure"), "value")
+        for name, (df, expr) in measures.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    return {r["measure"]: int(r["value"] or 0) for r in rows}
+
+
+def load_counts(files: DataFrame, kept: DataFrame, bad: DataFrame, loaded: DataFrame,
+                multi_days: DataFrame) -> tuple[dict[str, int], bool]:
+    """Status counts of a load plus the several-records-per-day verdict, in one job."""
+    n = F.count(F.lit(1))
+    c = count_all({
+        "files_seen": (files, n),
+        "files_accepted": (files, F.count_if(F.col("reason").isNull())),
+        "lines_read": (files, F.sum("n_rows")),
+        "rows_kept": (kept, n),
+        "rows_quarantined": (bad, n),
+        "rows_loaded": (loaded, n),
+        "multi_record_days": (multi_days, n),
+    })
+    multi = c.pop("multi_record_days") > 0
+    c["files_rejected"] = c["files_seen"] - c["files_accepted"]
+    return c, multi
 
 
 def status_frame(spark: SparkSession, pipeline: str, counts: dict[str, int],

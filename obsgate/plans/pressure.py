@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from obsgate.operators.parse import ERROR_CLASS, parse_by_layout
 from obsgate.operators.route import route_pressure
 from obsgate.operators.transform import dedupe, fill_missing, to_hpa
-from obsgate.operators.validate import accepted_rows, coverage_by_file, has_multi_record_days
-from obsgate.plans.common import LoadResult, as_lines, file_counts, status_frame
+from obsgate.operators.validate import accepted_rows, coverage_by_file, multi_record_days
+from obsgate.plans.common import LoadResult, as_lines, load_counts, status_frame
 from obsgate.sinks.parquet import stage, write_quarantine, write_table
 from obsgate.sources.registry import (
     PRESSURE_CANONICAL,
@@ -104,12 +104,9 @@ def load_pressure(
     bad = pressure_quarantine(parsed)
     loaded = stage(dedupe(kept), "pressure-loaded")
 
-    counts = file_counts(files)
-    counts["rows_kept"] = kept.count()
-    counts["rows_quarantined"] = bad.count()
-    counts["rows_loaded"] = loaded.count()
+    counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
     gates = {
-        "multi_record_days": has_multi_record_days(loaded),
+        "multi_record_days": multi,
         "schema_ok": True,
         "loaded": counts["files_accepted"] > 0,
     }

@@ -19,10 +19,10 @@ from obsgate.operators.transform import categorize_publisher, dedupe, fill_nan
 from obsgate.operators.validate import (
     accepted_rows,
     coverage_by_file,
-    has_multi_record_days,
+    multi_record_days,
     schema_matches,
 )
-from obsgate.plans.common import LoadResult, as_lines, file_counts, status_frame
+from obsgate.plans.common import LoadResult, as_lines, load_counts, status_frame
 from obsgate.sinks.parquet import stage, write_quarantine, write_table
 from obsgate.sources.registry import TEMPERATURE, TEMPERATURE_CANONICAL
 from obsgate.sources.text import with_provenance
@@ -66,12 +66,9 @@ def load_temperature(
     kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
     loaded = stage(dedupe(kept), "temperature-loaded")
 
-    counts = file_counts(files)
-    counts["rows_kept"] = kept.count()
-    counts["rows_quarantined"] = bad.count()
-    counts["rows_loaded"] = loaded.count()
+    counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
     gates = {
-        "multi_record_days": has_multi_record_days(loaded),
+        "multi_record_days": multi,
         "schema_ok": schema_matches(TEMPERATURE.schema(), loaded.drop("PUBLISHED_CATEGORY")),
     }
     gates["loaded"] = (
