@@ -27,10 +27,15 @@ _INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
 
 
 def fill_nan(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """NULL -> NaN in the given (default: all) floating-point columns."""
+    """NULL -> NaN in the given (default: all) floating-point columns.
+
+    Columns of other types among ``cols`` are left alone (NaN has no integer
+    or string form).
+    """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     if cols is None:
-        cols = [c for c, t in types.items() if isinstance(t, _FRACTIONAL)]
+        cols = list(types)
+    cols = [c for c in cols if isinstance(types[c], _FRACTIONAL)]
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(NAN).cast(types[c])) for c in cols})
 
 

@@ -37,6 +37,14 @@ class LoadResult:
     status: DataFrame
     gates: dict[str, bool] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    staged: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Delete the staged intermediate folders once nothing reads these frames any more."""
+        from obsgate.sinks.parquet import remove_paths
+
+        remove_paths(self.loaded.sparkSession, self.staged)
+        self.staged.clear()
 
 
 def as_lines(spark: SparkSession, source: str | Sequence[str] | DataFrame) -> DataFrame:

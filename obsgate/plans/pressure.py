@@ -95,14 +95,15 @@ def load_pressure(
     mode: str = "append",
     quarantine_format: str = "csv",
 ) -> LoadResult:
+    staged: list[str] = []
     parsed = stage(parse_pressure(as_lines(spark, source), ranges=ranges, policy=policy),
-                   "pressure-parsed")
+                   "pressure-parsed", staged)
     files = pressure_files(parsed)
     good, _ = route_pressure(parsed)
     kept = process_pressure(accepted_rows(good, files), swedish_inch_mm=swedish_inch_mm,
                             legacy_int_fill=legacy_int_fill)
     bad = pressure_quarantine(parsed)
-    loaded = stage(dedupe(kept), "pressure-loaded")
+    loaded = stage(dedupe(kept), "pressure-loaded", staged)
 
     counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
     gates = {
@@ -115,4 +116,4 @@ def load_pressure(
     if output is not None and gates["loaded"]:
         write_table(loaded, output, PARTITION_COLS, mode)
     status = status_frame(spark, "pressure", counts, gates)
-    return LoadResult("pressure", loaded, bad, files, status, gates, counts)
+    return LoadResult("pressure", loaded, bad, files, status, gates, counts, staged)

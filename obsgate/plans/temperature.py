@@ -60,11 +60,12 @@ def load_temperature(
     mode: str = "append",
     quarantine_format: str = "csv",
 ) -> LoadResult:
-    parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed")
+    staged: list[str] = []
+    parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed", staged)
     files = temperature_files(parsed)
     accepted = accepted_rows(parsed, files)
     kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
-    loaded = stage(dedupe(kept), "temperature-loaded")
+    loaded = stage(dedupe(kept), "temperature-loaded", staged)
 
     counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
     gates = {
@@ -79,4 +80,4 @@ def load_temperature(
     if output is not None and gates["loaded"]:
         write_table(loaded, output, PARTITION_COLS, mode)
     status = status_frame(spark, "temperature", counts, gates)
-    return LoadResult("temperature", loaded, bad, files, status, gates, counts)
+    return LoadResult("temperature", loaded, bad, files, status, gates, counts, staged)

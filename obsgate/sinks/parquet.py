@@ -76,22 +76,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/obsgate/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the staged files instead of
     re-running the whole upstream plan) and lets several later jobs read the
-    result columnar, with pruning, instead of recomputing it.
+    result columnar, with pruning, instead of recomputing it. The path is
+    appended to ``paths`` so the caller can :func:`remove_paths` it later.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.parquet(path)
 
 
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Recursively delete staged folders (Hadoop FileSystem, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for test helpers that list local output)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["write_table", "write_quarantine", "shared_dir", "scratch_path", "stage", "local_path"]
+__all__ = ["write_table", "write_quarantine", "shared_dir", "scratch_path", "stage", "remove_paths", "local_path"]

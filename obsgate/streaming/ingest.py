@@ -50,6 +50,7 @@ def _batch_writer(kind: str, output: str, quarantine: str | None, status: str |
         if status is not None:
             (res.status.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
              .parquet(f"{status.rstrip('/')}/batch_id={batch_id}"))
+        res.release()
 
     return write_batch
 

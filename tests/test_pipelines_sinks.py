@@ -91,3 +91,15 @@ def test_write_table_partitions(spark, tmp_path):
     write_quarantine(bad.filter("file_name = 'a.txt'"), q)
     write_quarantine(bad.filter("file_name = 'b.txt'"), q)
     assert spark.read.option("header", "true").csv(q).count() == 2
+
+
+def test_release_removes_staging(spark, tmp_path):
+    from obsgate.sinks.parquet import local_path
+
+    src = S.write_dir(tmp_path / "in", {"stockholm_barometer_1938_1960.txt": S.BARO_1938_1960})
+    res = load_pressure(spark, src)
+    paths = list(res.staged)
+    assert len(paths) == 2 and all(os.path.exists(local_path(p)) for p in paths)
+    assert res.loaded.count() == 23
+    res.release()
+    assert res.staged == [] and not any(os.path.exists(local_path(p)) for p in paths)
