@@ -11,7 +11,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obsgate.operators.parse import ERROR_CLASS, parse_by_layout
-from obsgate.operators.route import route_pressure
+from obsgate.operators.route import MANDATORY_NULL, route_pressure, to_quarantine
 from obsgate.operators.transform import dedupe, fill_missing, to_hpa
 from obsgate.operators.validate import accepted_rows, coverage_by_file, multi_record_days
 from obsgate.plans.common import LoadResult, as_lines, load_counts, status_frame
@@ -100,9 +100,15 @@ def load_pressure(
                    "pressure-parsed", staged)
     files = pressure_files(parsed)
     good, _ = route_pressure(parsed)
-    kept = process_pressure(accepted_rows(good, files), swedish_inch_mm=swedish_inch_mm,
-                            legacy_int_fill=legacy_int_fill)
+    good = accepted_rows(good, files)
     bad = pressure_quarantine(parsed)
+    if not legacy_int_fill:
+        # Without the legacy 0-fill a row without a YEAR has no partition to
+        # go to: quarantine it instead of writing YEAR=0.
+        no_year = F.col("YEAR").isNull()
+        bad = bad.unionByName(to_quarantine(good.filter(no_year), F.lit(MANDATORY_NULL)))
+        good = good.filter(~no_year)
+    kept = process_pressure(good, swedish_inch_mm=swedish_inch_mm, legacy_int_fill=legacy_int_fill)
     loaded = stage(dedupe(kept), "pressure-loaded", staged)
 
     counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))

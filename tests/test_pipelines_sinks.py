@@ -103,3 +103,14 @@ def test_release_removes_staging(spark, tmp_path):
     assert res.loaded.count() == 23
     res.release()
     assert res.staged == [] and not any(os.path.exists(local_path(p)) for p in paths)
+
+
+def test_pressure_null_year_legacy_fill_and_quarantine(spark, tmp_path):
+    text = S.BARO_1938_1960 + "\n\t1\t7\t1000.0\t1000.0\t1000.0"
+    src = S.write_dir(tmp_path / "in", {"stockholm_barometer_1938_1960.txt": text})
+    legacy = load_pressure(spark, src)
+    years = [r["YEAR"] for r in legacy.loaded.collect()]
+    assert len(years) == 24 and years.count(0) == 1
+    strict = load_pressure(spark, src, legacy_int_fill=False)
+    assert strict.loaded.count() == 23
+    assert [r["error_class"] for r in strict.quarantine.collect()] == ["MANDATORY_NULL"]
