@@ -24,6 +24,7 @@ def coverage_by_file(
     file_col: str = "file_name",
     year_col: str = "YEAR",
     *,
+    name_col: str | None = None,
     where: Column | None = None,
     bad: Column | None = None,
 ) -> DataFrame:
@@ -32,7 +33,9 @@ def coverage_by_file(
     A file is *covered* when the observed minimum and maximum year equal the
     start and end years in its name and every year in between occurs.
     ``where`` restricts which rows' years count (e.g. good rows only);
-    ``bad`` counts rows flagged bad. One grouped aggregate for all files:
+    ``bad`` counts rows flagged bad. ``file_col`` identifies a file (e.g. its
+    full path); the years are read from ``name_col`` (default: the same
+    column). One grouped aggregate for all files:
     partial aggregation happens map-side, the shuffle carries one row per
     (file, year) at most.
     """
@@ -48,8 +51,9 @@ def coverage_by_file(
         aggs.append(F.count_if(where).alias("n_counted"))
     if bad is not None:
         aggs.append(F.count_if(bad).alias("n_bad"))
-    per_file = df.groupBy(file_col).agg(*aggs)
-    start, end = name_years(F.col(file_col))
+    keys = [file_col] if name_col in (None, file_col) else [file_col, name_col]
+    per_file = df.groupBy(*keys).agg(*aggs)
+    start, end = name_years(F.col(name_col or file_col))
     per_file = per_file.withColumns({"name_start_year": start, "name_end_year": end})
     covered = (
         (F.col("name_start_year") == F.col("min_year"))

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from obsgate.sources.text import read_lines
+from obsgate.sources.text import read_lines, with_file_path
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("pipeline", T.StringType()),
@@ -47,11 +47,15 @@ class LoadResult:
         self.staged.clear()
 
 
+FILE_KEY = "file_path"  # identifies a file in per-file gates (names may repeat across folders)
+
+
 def as_lines(spark: SparkSession, source: str | Sequence[str] | DataFrame) -> DataFrame:
-    """A path / glob / list of paths is scanned; a DataFrame must carry ``value`` and ``file_name``."""
+    """``(value, file_name, file_path)``: a path / glob / list of paths is scanned;
+    a DataFrame must carry ``value`` and ``file_name`` (``file_path`` optional)."""
     if isinstance(source, DataFrame):
-        return source.select("value", "file_name")
-    return read_lines(spark, source).select("value", "file_name")
+        return with_file_path(source).select("value", "file_name", "file_path")
+    return read_lines(spark, source)
 
 
 def count_all(measures: dict[str, tuple[DataFrame, Column]]) -> dict[str, int]:

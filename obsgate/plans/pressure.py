@@ -14,8 +14,9 @@ from obsgate.operators.parse import ERROR_CLASS, parse_by_layout
 from obsgate.operators.route import MANDATORY_NULL, route_pressure, to_quarantine
 from obsgate.operators.transform import dedupe, fill_missing, to_hpa
 from obsgate.operators.validate import accepted_rows, coverage_by_file, multi_record_days
-from obsgate.plans.common import LoadResult, as_lines, load_counts, status_frame
+from obsgate.plans.common import FILE_KEY, LoadResult, as_lines, load_counts, status_frame
 from obsgate.sinks.parquet import stage, write_quarantine, write_table
+from obsgate.sources.text import with_file_path
 from obsgate.sources.registry import (
     PRESSURE_CANONICAL,
     PRESSURE_FILE_RANGES,
@@ -46,7 +47,7 @@ def layout_of(range_label: Column, ranges: Mapping[str, str] = PRESSURE_FILE_RAN
 def parse_pressure(lines: DataFrame, *, ranges: Mapping[str, str] = PRESSURE_FILE_RANGES,
                    policy: str = "null_row") -> DataFrame:
     """Every line typed against its file's layout, tagged with SPLIT_RANGE."""
-    tagged = lines.withColumn("SPLIT_RANGE", range_of(F.col("file_name"), ranges))
+    tagged = with_file_path(lines).withColumn("SPLIT_RANGE", range_of(F.col("file_name"), ranges))
     tagged = tagged.withColumn(LAYOUT_COL, layout_of(F.col("SPLIT_RANGE"), ranges))
     parsed = parse_by_layout(tagged, PRESSURE_LAYOUTS, LAYOUT_COL, policy=policy)
     return parsed.drop(LAYOUT_COL, "_corrupt_record")
@@ -57,6 +58,8 @@ def pressure_files(parsed: DataFrame) -> DataFrame:
     good = F.col(ERROR_CLASS).isNull()
     files = coverage_by_file(
         parsed.withColumn("__known", F.col("SPLIT_RANGE").isNotNull()),
+        FILE_KEY,
+        name_col="file_name",
         where=good & F.col("__known"),
         bad=F.col(ERROR_CLASS).isNotNull(),
     )
@@ -100,7 +103,7 @@ def load_pressure(
                    "pressure-parsed", staged)
     files = pressure_files(parsed)
     good, _ = route_pressure(parsed)
-    good = accepted_rows(good, files)
+    good = accepted_rows(good, files, FILE_KEY)
     bad = pressure_quarantine(parsed)
     if not legacy_int_fill:
         # Without the legacy 0-fill a row without a YEAR has no partition to

@@ -247,7 +247,7 @@ def coverage_accepted_rows(spark, sf_dir):
     """Good rows of the accepted files only (left-semi join on verdicts)."""
     parsed = parse_pressure(pressure_archive_lines(spark, sf_dir))
     good, _ = route_pressure(parsed)
-    return accepted_rows(good, pressure_files(parsed)).select("file_name", "YEAR", "MONTH", "DAY")
+    return accepted_rows(good, pressure_files(parsed), "file_path").select("file_name", "YEAR", "MONTH", "DAY")
 
 
 def provenance_flag(spark, sf_dir):

@@ -22,10 +22,10 @@ from obsgate.operators.validate import (
     multi_record_days,
     schema_matches,
 )
-from obsgate.plans.common import LoadResult, as_lines, load_counts, status_frame
+from obsgate.plans.common import FILE_KEY, LoadResult, as_lines, load_counts, status_frame
 from obsgate.sinks.parquet import stage, write_quarantine, write_table
 from obsgate.sources.registry import TEMPERATURE, TEMPERATURE_CANONICAL
-from obsgate.sources.text import with_provenance
+from obsgate.sources.text import with_file_path, with_provenance
 
 PARTITION_COLS = ["PUBLISHED_CATEGORY", "YEAR"]
 NAN_FILL_COLS = ["MAX_TEMP", "MIN_TEMP", "MEAN_TEMP"]
@@ -33,13 +33,13 @@ NAN_FILL_COLS = ["MAX_TEMP", "MIN_TEMP", "MEAN_TEMP"]
 
 def parse_temperature(lines: DataFrame, *, policy: str = "null_row") -> DataFrame:
     """Typed temperature rows with provenance flag, raw line and error class."""
-    parsed = with_provenance(parse_lines(lines, TEMPERATURE, policy=policy))
-    return parsed.select("file_name", "value", *TEMPERATURE.names, "ISMANUAL", ERROR_CLASS)
+    parsed = with_provenance(parse_lines(with_file_path(lines), TEMPERATURE, policy=policy))
+    return parsed.select("file_path", "file_name", "value", *TEMPERATURE.names, "ISMANUAL", ERROR_CLASS)
 
 
 def temperature_files(parsed: DataFrame) -> DataFrame:
     """Per-file verdicts; every parsed row's YEAR counts (bad rows too)."""
-    return coverage_by_file(parsed, bad=F.col(ERROR_CLASS).isNotNull())
+    return coverage_by_file(parsed, FILE_KEY, name_col="file_name", bad=F.col(ERROR_CLASS).isNotNull())
 
 
 def process_temperature(accepted: DataFrame, *, legacy_mandatory_null: bool = False):
@@ -63,7 +63,7 @@ def load_temperature(
     staged: list[str] = []
     parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed", staged)
     files = temperature_files(parsed)
-    accepted = accepted_rows(parsed, files)
+    accepted = accepted_rows(parsed, files, FILE_KEY)
     kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
     loaded = stage(dedupe(kept), "temperature-loaded", staged)
 

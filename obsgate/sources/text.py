@@ -35,6 +35,11 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bo
     )
 
 
+def with_file_path(df: DataFrame) -> DataFrame:
+    """Lines without a ``file_path`` (e.g. rendered from a table) use the name as path."""
+    return df if "file_path" in df.columns else df.withColumn("file_path", F.col("file_name"))
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` (default: the
     cluster's parallelism) when it has fewer, e.g. a table stored as one row

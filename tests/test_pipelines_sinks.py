@@ -114,3 +114,13 @@ def test_pressure_null_year_legacy_fill_and_quarantine(spark, tmp_path):
     strict = load_pressure(spark, src, legacy_int_fill=False)
     assert strict.loaded.count() == 23
     assert [r["error_class"] for r in strict.quarantine.collect()] == ["MANDATORY_NULL"]
+
+
+def test_same_file_name_in_two_folders_is_two_files(spark, tmp_path):
+    S.write_dir(tmp_path / "a", {"stockholm_barometer_1938_1960.txt": S.BARO_1938_1960})
+    S.write_dir(tmp_path / "b", {"stockholm_barometer_1938_1960.txt": S.MOCK_PRESSURE[
+        "stockholm_barometer_1938_1960.txt"]})
+    res = load_pressure(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    verdicts = sorted((r["file_path"].split("/")[-2], r["reason"]) for r in res.files.collect())
+    assert verdicts == [("a", None), ("b", "COVERAGE")]
+    assert res.loaded.count() == 23
