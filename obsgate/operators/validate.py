@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from obsgate.functions.tokens import name_years
+from obsgate.sinks.parquet import stage
 
 DAY_KEYS = ("YEAR", "MONTH", "DAY")
 
@@ -119,6 +120,11 @@ def dense_rank_keys(keys_df: DataFrame, order: Sequence[str], out: str = "day_ra
     partition numbers its rows, and a prefix sum over the per-partition counts
     (one row per partition, so a proven-small broadcast) turns local numbers
     into global ranks. No step moves all keys into one task.
+
+    The numbered keys (one row per distinct key) are staged as Parquet in the
+    shared checkpoint folder, so the counts and the local numbers always come
+    from the same range partitioning: two independent samplings of the range
+    bounds could otherwise disagree.
     """
     keys = keys_df.select(*order).distinct()
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
@@ -129,6 +135,7 @@ def dense_rank_keys(keys_df: DataFrame, order: Sequence[str], out: str = "day_ra
         "__pid": F.shiftright(F.col("__mid"), 33),
         "__local": F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)),
     })
+    numbered = stage(numbered, "dense-rank-keys")
     counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__offset",
