@@ -40,6 +40,6 @@ from obsgate.plans.batch import load_all
 from obsgate.plans.pressure import load_pressure
 from obsgate.plans.temperature import load_temperature
 from obsgate.sinks.parquet import stage, write_quarantine, write_table
-from obsgate.sources.text import lines_from_columns, read_lines, with_provenance
+from obsgate.sources.text import read_lines, spread, with_provenance
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -39,7 +39,7 @@ from obsgate.operators.validate import (
     schema_diff,
 )
 from obsgate.plans.pressure import load_pressure, parse_pressure, pressure_files, range_of
-from obsgate.plans.temperature import load_temperature, parse_temperature, temperature_files
+from obsgate.plans.temperature import load_temperature
 from obsgate.sinks.parquet import scratch_path, write_quarantine, write_table
 from obsgate.sources.registry import PRESSURE_C, PRESSURE_CANONICAL, TEMPERATURE
 from obsgate.sources.text import spread, with_provenance
@@ -427,5 +427,4 @@ QUERIES = {
     "load_status": load_status,
 }
 
-__all__ = ["QUERIES", "orders_lines", "lineitem_lines", "pressure_archive_lines", "table", "nan_as_flag",
-           "parse_temperature", "temperature_files"]
+__all__ = ["QUERIES", "orders_lines", "lineitem_lines", "pressure_archive_lines", "table", "nan_as_flag"]
