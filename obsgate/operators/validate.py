@@ -128,8 +128,9 @@ def dense_rank_keys(keys_df: DataFrame, order: Sequence[str], out: str = "day_ra
     """
     keys = keys_df.select(*order).distinct()
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
-    n = num_partitions or keys_df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = keys.repartitionByRange(int(n), *sort_cols).sortWithinPartitions(*sort_cols)
+    # Without an explicit count AQE may merge adjacent ranges (order is kept).
+    ranged = (keys.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else keys.repartitionByRange(*sort_cols)).sortWithinPartitions(*sort_cols)
     mid = F.monotonically_increasing_id()
     numbered = ranged.withColumn("__mid", mid).withColumns({
         "__pid": F.shiftright(F.col("__mid"), 33),
