@@ -50,7 +50,11 @@ def parse_pressure(lines: DataFrame, *, ranges: Mapping[str, str] = PRESSURE_FIL
     tagged = with_file_path(lines).withColumn("SPLIT_RANGE", range_of(F.col("file_name"), ranges))
     tagged = tagged.withColumn(LAYOUT_COL, layout_of(F.col("SPLIT_RANGE"), ranges))
     parsed = parse_by_layout(tagged, PRESSURE_LAYOUTS, LAYOUT_COL, policy=policy)
-    return parsed.drop(LAYOUT_COL, "_corrupt_record")
+    # Only rows that can be quarantined (corrupt, or without a YEAR when the
+    # legacy 0-fill is off) keep the raw line: staging the parsed lines then
+    # costs little more than the typed values.
+    line = F.when(F.col(ERROR_CLASS).isNotNull() | F.col("YEAR").isNull(), F.col("value"))
+    return parsed.withColumn("value", line).drop(LAYOUT_COL, "_corrupt_record")
 
 
 def pressure_files(parsed: DataFrame) -> DataFrame:

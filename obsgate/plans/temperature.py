@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obsgate.operators.parse import ERROR_CLASS, parse_lines
-from obsgate.operators.route import route_temperature
+from obsgate.operators.route import acceptable, route_temperature
 from obsgate.operators.transform import categorize_publisher, dedupe, fill_nan
 from obsgate.operators.validate import (
     accepted_rows,
@@ -34,7 +34,11 @@ NAN_FILL_COLS = ["MAX_TEMP", "MIN_TEMP", "MEAN_TEMP"]
 def parse_temperature(lines: DataFrame, *, policy: str = "null_row") -> DataFrame:
     """Typed temperature rows with provenance flag, raw line and error class."""
     parsed = with_provenance(parse_lines(with_file_path(lines), TEMPERATURE, policy=policy))
-    return parsed.select("file_path", "file_name", "value", *TEMPERATURE.names, "ISMANUAL", ERROR_CLASS)
+    # Only rows that can end up in quarantine (corrupt, or a mandatory value
+    # missing) keep the raw line.
+    line = F.when(F.col(ERROR_CLASS).isNotNull() | ~acceptable(TEMPERATURE.mandatory), F.col("value"))
+    return parsed.select("file_path", "file_name", line.alias("value"), *TEMPERATURE.names, "ISMANUAL",
+                         ERROR_CLASS)
 
 
 def temperature_files(parsed: DataFrame) -> DataFrame:

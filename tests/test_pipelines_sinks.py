@@ -21,8 +21,9 @@ def test_temperature_end_to_end(spark, tmp_path):
     assert sorted(r["YEAR"] for r in table.collect()) == [2013, 2014, 2015, 2016, 2017]
     reasons = {r["file_name"]: r["reason"] for r in res.files.collect()}
     assert reasons["stockholm_daily_temp_obs_1756_1858_t1t2t3_tempCopy.txt"] == "COVERAGE"
-    quarantine = spark.read.option("header", "true").csv(q)
-    assert quarantine.count() == 1
+    quarantine = spark.read.option("header", "true").csv(q).collect()
+    assert [(r["line"], r["error_class"]) for r in quarantine] == [
+        ("2015\t1\t4\t5\t4.1\tXXX\t4.5\t1.5\tXXX", "TYPE")]
 
 
 def test_temperature_partial_policy_refuses(spark, tmp_path):
@@ -113,7 +114,8 @@ def test_pressure_null_year_legacy_fill_and_quarantine(spark, tmp_path):
     assert len(years) == 24 and years.count(0) == 1
     strict = load_pressure(spark, src, legacy_int_fill=False)
     assert strict.loaded.count() == 23
-    assert [r["error_class"] for r in strict.quarantine.collect()] == ["MANDATORY_NULL"]
+    assert [(r["error_class"], r["line"]) for r in strict.quarantine.collect()] == [
+        ("MANDATORY_NULL", "\t1\t7\t1000.0\t1000.0\t1000.0")]
 
 
 def test_same_file_name_in_two_folders_is_two_files(spark, tmp_path):
