@@ -40,7 +40,7 @@ from obsgate.operators.validate import (
 )
 from obsgate.plans.pressure import load_pressure, parse_pressure, pressure_files, range_of
 from obsgate.plans.temperature import load_temperature
-from obsgate.sinks.parquet import scratch_path, write_quarantine, write_table
+from obsgate.sinks.parquet import scratch_path, stage, write_quarantine, write_table
 from obsgate.sources.registry import PRESSURE_C, PRESSURE_CANONICAL, TEMPERATURE
 from obsgate.sources.text import spread, with_provenance
 
@@ -245,7 +245,8 @@ def coverage_by_file(spark, sf_dir):
 
 def coverage_accepted_rows(spark, sf_dir):
     """Good rows of the accepted files only (left-semi join on verdicts)."""
-    parsed = parse_pressure(pressure_archive_lines(spark, sf_dir))
+    # Staged once: the verdicts and the rows read the same parsed lines.
+    parsed = stage(parse_pressure(pressure_archive_lines(spark, sf_dir)), "accepted-rows-parsed")
     good, _ = route_pressure(parsed)
     return accepted_rows(good, pressure_files(parsed), "file_path").select("file_name", "YEAR", "MONTH", "DAY")
 
@@ -301,8 +302,9 @@ def convert_round(spark, sf_dir):
 
 def convert_back_except(spark, sf_dir):
     """Reverse-converted readings that do not round-trip (EXCEPT DISTINCT)."""
-    good = _archive_good(spark, sf_dir).filter(
-        F.col("SPLIT_RANGE").isin("1862_1937", "1756_1858", "1859_1861"))
+    # Staged once: both sides of the EXCEPT read the same parsed rows.
+    good = stage(_archive_good(spark, sf_dir).filter(
+        F.col("SPLIT_RANGE").isin("1862_1937", "1756_1858", "1859_1861")), "roundtrip-good")
     source_cols = {
         "1862_1937": ("OBSERVATION1", "OBSERVATION2", "OBSERVATION3"),
         "1756_1858": ("BARO_OBS1", "BARO_OBS2", "BARO_OBS3"),
