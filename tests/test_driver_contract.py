@@ -11,6 +11,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
@@ -45,8 +48,11 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
+    orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
-    assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
+    otypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: DUCK_TYPES[t] for c, t in df.dtypes} == otypes
+    assert _rows(df.columns, df.collect()) == _rows(ocols, orows)
 
 
 def test_entry_smoke(spark):
