@@ -41,6 +41,10 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _layout_exprs(tok: str, layout: Layout, prefix: str) -> dict[str, str]:
     """SQL for the typed columns plus arity and type flags of one layout's tokens."""
     out, failed = {}, []
@@ -116,7 +120,7 @@ def parse_by_layout(
         if layout_col is None:
             return get(keys[0])
         branches = [(k, get(k)) for k in keys]
-        whens = " ".join(f"WHEN {_q(layout_col)} = '{k}' THEN {v}" for k, v in branches if v is not None)
+        whens = " ".join(f"WHEN {_q(layout_col)} = {_lit(k)} THEN {v}" for k, v in branches if v is not None)
         return f"CASE {whens} END"
 
     def value(key: str, name: str) -> str | None:

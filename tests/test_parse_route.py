@@ -130,3 +130,14 @@ def test_read_lines_from_directory(spark, tmp_path):
     per = {r["file_name"]: r["n"] for r in parsed.filter(F.col(ERROR_CLASS).isNotNull())
            .groupBy("file_name").agg(F.count("*").alias("n")).collect()}
     assert per == {"stockholm_barometer_1862_1937.txt": 1, "stockholmA_barometer_2013_2017.txt": 5}
+
+
+def test_layout_keys_are_escaped(spark):
+    from obsgate.operators.parse import parse_by_layout
+    from obsgate.sources.registry import PRESSURE_B
+
+    df = spark.createDataFrame([("1900\t1\t2\t3\t4\t5", "it's"), ("1900\t1\t2\t3\t4\t5\t6\t7\t8", "b\\x")],
+                               "value string, k string")
+    got = {r["k"]: (r[ERROR_CLASS], r["OBSERVATION1"], r["BARO_OBS1"])
+           for r in parse_by_layout(df, {"it's": PRESSURE_C, "b\\x": PRESSURE_B}, "k").collect()}
+    assert got == {"it's": (None, 3.0, None), "b\\x": (None, None, 3.0)}
