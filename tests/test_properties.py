@@ -59,7 +59,7 @@ def _same(a, b):
     return a == b
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(line, min_size=1, max_size=25))
 def test_parse_matches_reference(spark, lines):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(lines)], "value string, line_no int")
@@ -76,7 +76,7 @@ def test_parse_matches_reference(spark, lines):
         assert (row["_corrupt_record"] == text) == (err is not None)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(line, min_size=1, max_size=25))
 def test_routing_is_a_partition(spark, lines):
     df = spark.createDataFrame([(v, "f") for v in lines], "value string, file_name string")
@@ -88,7 +88,7 @@ def test_routing_is_a_partition(spark, lines):
 reading = st.decimals(700, 800, places=1).map(float)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(reading, reading, reading), min_size=1, max_size=20),
        st.sampled_from(["1862_1937", "1859_1861", "1756_1858"]))
 def test_convert_back_close_and_dedupe_idempotent(spark, obs, label):
@@ -98,14 +98,16 @@ def test_convert_back_close_and_dedupe_idempotent(spark, obs, label):
         f"{src_cols}{j} double" for j in (1, 2, 3))
     df = spark.createDataFrame(rows, schema)
     back = convert_back(to_hpa(df)).orderBy("DAY").collect()
-    # One decimal in hPa is at most 0.05 hPa off; back in the source unit that is
-    # within half a step of the reverse rounding plus that error times the reverse factor.
-    tol = {"1862_1937": 0.05 + 0.05 * 0.75006, "1859_1861": 0.05 + 0.05 * 0.2953,
-           "1756_1858": 0.005 + 0.05 * 0.02953}[label]
-    factor = {"1862_1937": 1.0, "1859_1861": 1.0, "1756_1858": 1 / (25.4 * 0.02953 * 1.333224)}[label]
-    for r, o in zip(back, obs):
+    # forward factor f, reverse factor r, reverse rounding step
+    f, r, step = {"1862_1937": (1.333224, 0.75006, 0.1),
+                  "1859_1861": (25.4 * 1.333224 * 0.1, 0.2953, 0.1),
+                  "1756_1858": (25.4 * 1.333224, 0.02953, 0.01)}[label]
+    for row, o in zip(back, obs):
         for j in range(3):
-            assert abs(r[f"OBSERVATION{j + 1}"] - o[j] * factor) <= tol + 1e-9 + abs(o[j] * factor) * 2e-3
+            x = o[j]
+            # half a reverse step + the forward rounding (0.05 hPa) scaled back + factor mismatch
+            bound = step / 2 + 0.05 * r + abs(x) * abs(f * r - 1) + 1e-9
+            assert abs(row[f"OBSERVATION{j + 1}"] - x) <= bound, (label, x, row)
     conv = to_hpa(df)
     once = dedupe(merge(conv, conv))
     assert once.count() == dedupe(once).count() == conv.distinct().count()
