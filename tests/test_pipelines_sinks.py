@@ -126,3 +126,19 @@ def test_same_file_name_in_two_folders_is_two_files(spark, tmp_path):
     verdicts = sorted((r["file_path"].split("/")[-2], r["reason"]) for r in res.files.collect())
     assert verdicts == [("a", None), ("b", "COVERAGE")]
     assert res.loaded.count() == 23
+
+
+def test_coverage_sees_bad_rows_for_temperature_only(spark, lines_of):
+    from obsgate.plans.pressure import parse_pressure, pressure_files
+    from obsgate.plans.temperature import parse_temperature, temperature_files
+
+    # Temperature: the only 2014 row is short (ARITY) but its YEAR parses -> years covered.
+    t = lines_of({"stockholm_daily_temp_obs_2013_2014_t1.txt":
+                  "2013\t1\t1\t1\t2\t3\t4\t5\t6\n2014\t1\t1\t1\t2\t3"})
+    tf = temperature_files(parse_temperature(t)).first()
+    assert (tf["reason"], tf["year_count"], tf["n_bad"]) == (None, 2, 1)
+    # Pressure: the only 1961 row is corrupt -> coverage fails on good rows.
+    p = lines_of({"stockholm_barometer_1961_2012.txt": "\n".join(
+        [f"{y}\t1\t1\t1000.0\t1000.0\t1000.0" for y in range(1962, 2013)] + ["1961\t1\t1\t1000.0"])})
+    pf = pressure_files(parse_pressure(p)).first()
+    assert (pf["reason"], pf["min_year"], pf["n_bad"]) == ("COVERAGE", 1962, 1)
