@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obsgate.functions.tokens import is_manual_station
 from obsgate.sources.registry import AUTOMATIC_STATION_PREFIX
@@ -30,11 +30,21 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bo
     df = reader.load(list(paths))
     return df.select(
         "value",
-        F.col("_metadata.file_name").alias("file_name"),
+        file_name_column().alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
     )
 
 
+def file_name_column() -> Column:
+    """The source file's name from ``_metadata``, URL-decoded.
+
+    The metadata name is URL-encoded ("a%20b.txt"); registry lookups and year
+    parsing need the real name. ``url_decode`` is form decoding, so a literal
+    '+' is protected first. The (encoded) path stays the file's identity.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def with_file_path(df: DataFrame) -> DataFrame:
     """Lines without a ``file_path`` (e.g. rendered from a table) use the name as path."""
     return df if "file_path" in df.columns else df.withColumn("file_path", F.col("file_name"))

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from obsgate.plans.pressure import PARTITION_COLS as PRESSURE_PARTITIONS, load_pressure
 from obsgate.plans.temperature import PARTITION_COLS as TEMPERATURE_PARTITIONS, load_temperature
 from obsgate.sinks.parquet import scratch_path
+from obsgate.sources.text import file_name_column
 
 LOADS = {
     "temperature": (load_temperature, TEMPERATURE_PARTITIONS),
@@ -27,11 +28,12 @@ LOADS = {
 
 
 def line_stream(spark: SparkSession, source: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``(value, file_name)`` of every line of every new file under ``source``."""
+    """Streaming ``(value, file_name, file_path)`` of every line of every new file under ``source``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(source).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return reader.load(source).select(
+        "value", file_name_column().alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
 
 
 def _batch_writer(kind: str, output: str, quarantine: str | None, status: str | None, options: dict):

@@ -141,3 +141,10 @@ def test_layout_keys_are_escaped(spark):
     got = {r["k"]: (r[ERROR_CLASS], r["OBSERVATION1"], r["BARO_OBS1"])
            for r in parse_by_layout(df, {"it's": PRESSURE_C, "b\\x": PRESSURE_B}, "k").collect()}
     assert got == {"it's": (None, 3.0, None), "b\\x": (None, None, 3.0)}
+
+
+def test_file_names_are_decoded(spark, tmp_path):
+    names = ["a b.txt", "c+d.txt", "e%41.txt", "stockholm_barometer_1938_1960.txt"]
+    S.write_dir(tmp_path / "n", {n: "1\t2\t3" for n in names})
+    got = {r["file_name"] for r in read_lines(spark, str(tmp_path / "n")).collect()}
+    assert got == set(names)
