@@ -30,17 +30,17 @@ ERROR_CLASS = "_error_class"
 POLICIES = ("null_row", "partial")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _tokens(value: Column, layout: Layout, delimiter: str) -> Column:
-    ddl = ", ".join(f"`{n}` STRING" for n in layout.names) + f", `{CORRUPT}` STRING"
+    ddl = ", ".join(f"{_q(n)} STRING" for n in [*layout.names, CORRUPT])
     return F.from_csv(
         value, ddl, {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
