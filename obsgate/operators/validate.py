@@ -2,7 +2,8 @@
 
 Each validator is a lazy DataFrame that *reports* (offending rows, per-file
 verdicts, schema differences); the ``has_*`` helpers turn a report into a
-boolean with one small job (``limit(1)``), never a full collect.
+boolean with one small job (``limit(1)``), never a full collect. The dense
+rank stages its distinct keys (one small job) to stay consistent.
 """
 
 from __future__ import annotations
@@ -122,9 +123,9 @@ def dense_rank_keys(keys_df: DataFrame, order: Sequence[str], out: str = "day_ra
     into global ranks. No step moves all keys into one task.
 
     The numbered keys (one row per distinct key) are staged as Parquet in the
-    shared checkpoint folder, so the counts and the local numbers always come
-    from the same range partitioning: two independent samplings of the range
-    bounds could otherwise disagree.
+    shared checkpoint folder (one small job when called), so the counts and
+    the local numbers always come from the same range partitioning: two
+    independent samplings of the range bounds could otherwise disagree.
     """
     keys = keys_df.select(*order).distinct()
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
