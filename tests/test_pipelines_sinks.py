@@ -142,3 +142,26 @@ def test_coverage_sees_bad_rows_for_temperature_only(spark, lines_of):
         [f"{y}\t1\t1\t1000.0\t1000.0\t1000.0" for y in range(1962, 2013)] + ["1961\t1\t1\t1000.0"])})
     pf = pressure_files(parse_pressure(p)).first()
     assert (pf["reason"], pf["min_year"], pf["n_bad"]) == ("COVERAGE", 1962, 1)
+
+
+def test_results_do_not_depend_on_aqe(spark, tmp_path):
+    S.write_dir(tmp_path / "t", S.MOCK_TEMPERATURE)
+    S.write_dir(tmp_path / "p", {"stockholm_barometer_1938_1960.txt": S.BARO_1938_1960,
+                                 "stockholm_barometer_1862_1937.txt": S.BARO_1862_1937})
+
+    def run():
+        t = load_temperature(spark, str(tmp_path / "t"))
+        p = load_pressure(spark, str(tmp_path / "p"))
+        return (tuple(t.status.first()), sorted(map(tuple, t.loaded.collect())),
+                tuple(p.status.first()), sorted(map(tuple, p.loaded.collect()), key=str))
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        on = run()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        off = run()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert on == off
+    assert on[2][7] == 23  # pressure rows loaded
