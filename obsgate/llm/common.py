@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -57,7 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", max_chars:
     """Cut Arrow batches into runs of whole rows of about ``max_chars``, with texts (null: empty)."""
     for b in batches:
         col = b.column(b.schema.get_field_index(text_col))
-        size = np.cumsum(np.nan_to_num(pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)))
+        size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         lo = 0
         while lo < b.num_rows:
             base = size[lo - 1] if lo else 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from obsgate.llm.quality_rules import quality_rules
+from obsgate.llm.token_records import token_records
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op10_token_records)}
 
 ORACLE: dict[str, str] = {}
