@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obsgate.llm.decontaminate import contamination
+from obsgate.llm.jaccard_join import jaccard_components
+from obsgate.llm.line_dedup import MAX_PCT, MIN_PAGES, line_dedup
+from obsgate.llm.packing import pack
 from obsgate.llm.quality_rules import quality_rules
+from obsgate.llm.substring_dedup import substring_dedup
 from obsgate.llm.token_records import token_records
+from obsgate.llm.toxicity import toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,10 +22,49 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_read(spark, sf_dir, "documents")).selectExpr("row.doc_id AS doc_id", "row.source AS source", "n_lines", "n_dropped", "kept_text AS text")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_read(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_read(spark, sf_dir, "documents"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_toxicity, op5_line_dedup, op7_packing, op8_jaccard_join, op9_substring_dedup, op10_token_records)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": f"""
+WITH page AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+own AS (SELECT doc_id, source, unnest(list_distinct(lines)) AS line FROM page),
+total AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+bad AS (
+  SELECT o.source, o.line FROM own o JOIN total t ON o.source IS NOT DISTINCT FROM t.source
+  WHERE regexp_matches(o.line, '[^\x20\x09-\x0D]')
+  GROUP BY o.source, o.line, t.pages HAVING count(*) >= {MIN_PAGES} AND count(*) * 100 > t.pages * {MAX_PCT}),
+lists AS (SELECT source, list(line) AS bad FROM bad GROUP BY source),
+kept AS (
+  SELECT p.*, CASE WHEN l.bad IS NULL THEN lines ELSE list_filter(lines, x -> NOT list_contains(l.bad, x)) END AS kept
+  FROM page p LEFT JOIN lists l ON p.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
+  array_to_string(kept, chr(10)) AS text FROM kept""",
+}
