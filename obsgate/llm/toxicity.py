@@ -1,10 +1,10 @@
 """Toxicity by subword-bag embeddings (operator 3).
 
 A word, in lower case and without punctuation at its ends, is the bag of its
-hashed character n-grams (3 to 6 bytes, with marks for begin and end). Its vector
+hashed character n-grams (3 to 6 bytes, with marks for begin and end) and itself. Its vector
 is their mean, a document's vector the mean over its words, and a linear softmax
-on it gives the score. Embeddings and softmax are trained together (Adam on the
-cross-entropy, numpy on the driver), so a misspelling never seen shares most of
+on it gives the score. Embeddings and softmax are trained together (Adam on
+the cross-entropy with shrinkage, numpy on the driver), so a misspelling never seen shares most of
 its n-grams' vectors with the word it stands for.
 
 Training reads at most ``max_train`` labelled documents, chosen by a hash of
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from obsgate.llm import common as C
 
-FOLDS, MAX_TRAIN = 5, 4_000
-BUCKET_BITS, DIM, SIZES = 17, 4, (3, 4, 5, 6)
-EPOCHS, RATE, DECAY, SCALE, MIN_DOCS = 30, 0.05, 0.5, 50.0, 40
+FOLDS, MAX_TRAIN = 5, 6_000
+BUCKET_BITS, DIM, SIZES = 20, 4, (3, 4, 5, 6)
+EPOCHS, RATE, SHRINK, SCALE, MIN_DOCS = 30, 0.4, 0.45, 800.0, 4
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_words long"
 _EDGE = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -42,7 +42,7 @@ def bag(text: str) -> list[bytes]:
 
 
 def ngram_buckets(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of each word (one after the other), and the words' offsets among them."""
+    """Buckets of each word's n-grams and of the word itself (one word after the other), and the words' offsets."""
     marked = [b"<" + w + b">" for w in words]
     flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
     length = np.fromiter(map(len, marked), np.int64, len(marked))
@@ -60,6 +60,9 @@ def ngram_buckets(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
                 ok = left >= n
                 owners.append(owner[ok])
                 grams.append(C.mix(h[ok] + np.uint64(n)) >> np.uint64(64 - BUCKET_BITS))
+    whole = np.fromiter(map(C.xxh3_64_intdigest, marked), np.uint64, len(marked))
+    owners.append(np.arange(len(words)))
+    grams.append(whole >> np.uint64(64 - BUCKET_BITS))
     owners, grams = np.concatenate(owners), np.concatenate(grams).astype(np.int64)
     o = np.argsort(owners, kind="stable")
     return grams[o], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(words)))])
@@ -127,12 +130,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
         g = (p - target) / len(y)
         g_doc = SCALE * g @ soft.T
         g_word = spread(g_doc[doc] * share[:, None], word, len(first))
-        grads = [spread(g_word[gram_word] * gram_share[:, None], local, len(buckets)) , doc_vec.T @ g, g.sum(0)]
+        grads = [spread(g_word[gram_word] * gram_share[:, None], local, len(buckets)), doc_vec.T @ g, g.sum(0)]
         for q, d, a, b in zip(params, grads, m, v):
             a += 0.1 * (d - a)
             b += 0.01 * (d * d - b)
-            q -= RATE * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-10)
-        emb *= 1 - RATE * DECAY
+            q -= RATE * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-12)
+        # shrinkage: only n-grams whose gradients keep one direction grow away from zero
+        emb[:] = np.sign(emb) * np.maximum(np.abs(emb) - RATE * SHRINK, 0)
     margin = np.zeros(1 << BUCKET_BITS, np.float32)
     margin[buckets] = emb @ (soft[:, 1] - soft[:, 0])
     return Model(margin, float(bias[1] - bias[0]))
