@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from obsgate.llm.decontaminate import contamination
+from obsgate.llm.html_extract import extract
 from obsgate.llm.jaccard_join import jaccard_components
 from obsgate.llm.line_dedup import MAX_PCT, MIN_PAGES, line_dedup
 from obsgate.llm.packing import pack
+from obsgate.llm.pii import find_pii
 from obsgate.llm.quality_rules import quality_rules
 from obsgate.llm.substring_dedup import substring_dedup
 from obsgate.llm.token_records import token_records
@@ -30,10 +32,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_read(spark, sf_dir, "documents")).selectExpr("row.doc_id AS doc_id", "row.source AS source", "n_lines", "n_dropped", "kept_text AS text")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(_read(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"))
 
@@ -50,7 +60,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_toxicity, op5_line_dedup, op7_packing, op8_jaccard_join, op9_substring_dedup, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_toxicity, op4_html_extract, op5_line_dedup, op6_pii, op7_packing, op8_jaccard_join, op9_substring_dedup, op10_token_records)}
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": f"""
@@ -63,7 +73,7 @@ bad AS (
   GROUP BY o.source, o.line, t.pages HAVING count(*) >= {MIN_PAGES} AND count(*) * 100 > t.pages * {MAX_PCT}),
 lists AS (SELECT source, list(line) AS bad FROM bad GROUP BY source),
 kept AS (
-  SELECT p.*, CASE WHEN l.bad IS NULL THEN lines ELSE list_filter(lines, x -> NOT list_contains(l.bad, x)) END AS kept
+  SELECT p.*, CASE WHEN l.bad IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(l.bad, x)) END AS kept
   FROM page p LEFT JOIN lists l ON p.source IS NOT DISTINCT FROM l.source)
 SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
   array_to_string(kept, chr(10)) AS text FROM kept""",
