@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from obsgate.sinks.parquet import remove_paths
+
 # Odd multipliers of the window hashes, derived from one rule (any odd 64-bit values do).
 _M = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-SLICE_CHARS = 3_000_000
+SLICE_CHARS, SLICE_ROWS = 3_000_000, 60_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,11 +39,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once under the shared folder and read back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once under the shared folder and read back: cuts lineage, survives lost executors.
+
+    The write's shuffle files are removed when it is done, the staged copy replaces them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged copies that no later plan reads."""
+    for df in staged:
+        remove_paths(df.sparkSession, [df.staged_path])
 
 
 def n_partitions(df: DataFrame, items: int, per_task: int) -> int:
@@ -62,7 +84,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", max_chars:
         lo = 0
         while lo < b.num_rows:
             base = size[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(size, base + max_chars, "right")))
+            hi = min(max(lo + 1, int(np.searchsorted(size, base + max_chars, "right"))), lo + SLICE_ROWS)
             yield b.slice(lo, hi - lo), [t or "" for t in col.slice(lo, hi - lo).to_pylist()]
             lo = hi
 

@@ -21,6 +21,16 @@ def unpack40(b: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def pack_planes(x: np.ndarray) -> bytes:
+    """Values under 2**32, the lower halves before the upper ones: mostly zeros, which compress away."""
+    return np.ascontiguousarray(x.astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+
+
+def unpack_planes(b: bytes) -> np.ndarray:
+    low, high = np.frombuffer(b, "<u2").reshape(2, -1).astype(np.int64)
+    return low | high << 16
+
+
 def pack_steps(sorted_keys: np.ndarray) -> bytes:
     """Ascending keys as 16-bit steps; 65535 stands for a step without a key."""
     step = np.diff(sorted_keys.astype(np.int64), prepend=0)

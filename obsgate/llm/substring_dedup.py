@@ -39,7 +39,7 @@ from obsgate.llm import fragments as P
 WINDOW, SEED = 20, 12
 PER_FRAGMENT = 2_000_000
 LAST = 2**63 - 1
-KNOWN = 0xFFFFFFFF  # posted for a hash that its slice has settled
+KNOWN = 0xFFFF  # over a slice's rows; posted for a hash that its slice has settled
 ROWS = "frag int, doc_id long, places binary, hashes binary, docs binary, at binary, ids binary"
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_repeats long"
 _TYPES = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
@@ -76,8 +76,8 @@ def _per_doc(ids: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[tuple]
     return [(-1, int(ids[doc[s]]), place[s : s + m].tobytes(), None, None, None, None) for s, m in zip(start, n)]
 
 
-def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, bits: int) -> list[tuple]:
-    """Rows of one slice by hash range; ``h`` ascending."""
+def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, bits: int, brief: bool) -> list[tuple]:
+    """Rows of one slice by hash range; ``h`` ascending. ``brief``: 40 bits below the range's, enough for seeds."""
     edge, rows = P.cuts(h, bits), []
     for f in range(1 << bits):
         lo, hi = edge[f], edge[f + 1]
@@ -85,20 +85,21 @@ def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, b
             d = doc[lo:hi]
             known = d == KNOWN
             used, idx = np.unique(d[~known], return_inverse=True)
-            local = np.full(hi - lo, KNOWN, "<u4")
+            local = np.full(hi - lo, KNOWN, "<u2")
             local[~known] = idx
-            rows.append((f, None, None, h[lo:hi].astype("<u8").tobytes(), local.tobytes(), place[lo:hi].astype("<u4").tobytes(), ids[used].astype("<i8").tobytes()))
+            packed = P.pack40(h[lo:hi] >> np.uint64(24 - bits)) if brief else h[lo:hi].astype("<u8").tobytes()
+            rows.append((f, None, None, packed, local.tobytes(), P.pack_planes(place[lo:hi]), ids[used].astype("<i8").tobytes()))
     return rows
 
 
-def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, documents (index into the ids; KNOWN: none), places and ids of one hash range."""
+def _gather(table: pa.Table, brief: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, documents (index into the ids; -1: none), places and ids of one hash range."""
     hashes, docs, at, ids, base = [], [], [], [], 0
     for h, d, p, i in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "at", "ids"))):
-        d, i = np.frombuffer(d, "<u4").astype(np.int64), np.frombuffer(i, "<i8")
-        hashes.append(np.frombuffer(h, "<u8"))
-        docs.append(np.where(d == KNOWN, KNOWN, d + base))
-        at.append(np.frombuffer(p, "<u4").astype(np.int64))
+        d, i = np.frombuffer(d, "<u2").astype(np.int64), np.frombuffer(i, "<i8")
+        hashes.append(P.unpack40(h) if brief else np.frombuffer(h, "<u8"))
+        docs.append(np.where(d == KNOWN, -1, d + base))
+        at.append(P.unpack_planes(p))
         ids.append(i)
         base += len(i)
     return tuple(np.concatenate(x) for x in (hashes, docs, at, ids))
@@ -120,16 +121,16 @@ def _seed_posts(batches: Iterator[pa.RecordBatch], bits: int, window: int, seed:
         again = np.repeat(n > 1, n)
         rows = _per_doc(ids, doc[again], place[again])
         d = np.where(again, KNOWN, doc)[start] if len(start) else doc
-        yield _batch(rows + _posts(h[start], d, place[start], ids, bits))
+        yield _batch(rows + _posts(h[start], d, place[start], ids, bits, True))
 
 
 def _seeds(table: pa.Table) -> pa.Table:
     """Places of the anchors that another slice has too."""
-    h, doc, place, ids = _gather(table)
+    h, doc, place, ids = _gather(table, True)
     o = np.argsort(h, kind="stable")
     h, doc, place = h[o], doc[o], place[o]
     _, n = P.runs(h)
-    hit = np.repeat(n > 1, n) & (doc != KNOWN)
+    hit = np.repeat(n > 1, n) & (doc >= 0)
     rows = _per_doc(ids, doc[hit], place[hit])
     return pa.table([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "places"])
 
@@ -171,12 +172,12 @@ def _window_posts(batches: Iterator[pa.RecordBatch], bits: int, window: int, see
         first_of = np.repeat(start, n)
         same = (ids[d] == ids[d[first_of]]) & (at == at[first_of])  # the same row twice
         later = ~first & ~same
-        yield _batch(_per_doc(ids, d[later], at[later]) + _posts(h[start], d[start], at[start], ids, bits))
+        yield _batch(_per_doc(ids, d[later], at[later]) + _posts(h[start], d[start], at[start], ids, bits, False))
 
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Of the windows that several slices post, all places but the first."""
-    h, doc, at, ids = _gather(table)
+    h, doc, at, ids = _gather(table, False)
     own = ids[doc]
     o = np.lexsort((at, own, h))
     h, doc, at, own = h[o], doc[o], at[o], own[o]
@@ -224,6 +225,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
     near = keyed.join(seeds.withColumnRenamed("doc_id", "key"), "key").select("doc_id", "text", "places")
     windows = C.stage(near.mapInArrow(lambda it: _window_posts(it, bits, window, seed), ROWS), "substring-windows")
+    C.release(posts)
     return _joined(windows, _repeats)
 
 
