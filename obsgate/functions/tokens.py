@@ -14,25 +14,8 @@ INT_TOKEN = r"^[+-]?[0-9]+$"
 NON_BLANK = r"\S"
 
 
-def typed_token(tok: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """Return ``(value, failed)`` for one string token.
-
-    ``failed`` is true when the token is present (not NULL / blank) but does
-    not parse as ``dtype``; ``value`` is NULL in that case.
-    """
-    # Type names (not DataType objects) keep the JVM round trips per column low.
-    name = dtype.simpleString()
-    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        value = F.when(tok.rlike(INT_TOKEN), tok.try_cast(name))
-    elif isinstance(dtype, T.StringType):
-        return tok, F.lit(False)
-    else:
-        value = tok.try_cast(name)
-    return value, tok.isNotNull() & value.isNull()
-
-
 def typed_token_sql(ref: str, dtype: T.DataType) -> tuple[str, str]:
-    """SQL text form of :func:`typed_token` for a token referenced as ``ref``."""
+    """SQL for (typed value, failed flag) of a token referenced as ``ref``."""
     name = dtype.simpleString()
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         value = f"CASE WHEN {ref} RLIKE '{INT_TOKEN}' THEN try_cast({ref} AS {name}) END"

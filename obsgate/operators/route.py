@@ -17,6 +17,7 @@ from obsgate.sources.registry import TEMPERATURE
 ACCEPTABLE = "isAcceptableNullColumns"
 MANDATORY_NULL = "MANDATORY_NULL"
 QUARANTINE_COLUMNS = ["file_name", "line", "error_class"]
+DROPPED = "rows_dropped"
 
 
 def acceptable(cols: Sequence[str] = TEMPERATURE.mandatory) -> Column:
@@ -25,11 +26,11 @@ def acceptable(cols: Sequence[str] = TEMPERATURE.mandatory) -> Column:
 
 
 def to_quarantine(bad: DataFrame, error_class: Column | None = None, value_col: str = "value") -> DataFrame:
-    """Quarantine rows: source file, raw line, reason."""
+    """Quarantine rows: source file (name and, if known, path), raw line, reason, and the typed columns."""
     err = F.col(ERROR_CLASS) if error_class is None else error_class
-    return bad.select(
-        F.col("file_name"), F.col(value_col).alias("line"), err.alias("error_class")
-    )
+    first = [c for c in ("file_path", "file_name") if c in bad.columns]
+    rest = [c for c in bad.columns if c not in (*first, value_col, ERROR_CLASS, CORRUPT)]
+    return bad.select(*first, F.col(value_col).alias("line"), err.alias("error_class"), *rest)
 
 
 def route_pressure(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

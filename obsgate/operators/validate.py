@@ -29,13 +29,14 @@ def coverage_by_file(
     name_col: str | None = None,
     where: Column | None = None,
     bad: Column | None = None,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per file: name years, observed min/max/distinct years, verdict.
 
     A file is *covered* when the observed minimum and maximum year equal the
     start and end years in its name and every year in between occurs.
     ``where`` restricts which rows' years count (e.g. good rows only);
-    ``bad`` counts rows flagged bad. ``file_col`` identifies a file (e.g. its
+    ``bad`` counts rows flagged bad, ``extra`` adds aggregates. ``file_col`` identifies a file (e.g. its
     full path); the years are read from ``name_col`` (default: the same
     column). One grouped aggregate for all files:
     partial aggregation happens map-side, the shuffle carries one row per
@@ -53,6 +54,7 @@ def coverage_by_file(
         aggs.append(F.count_if(where).alias("n_counted"))
     if bad is not None:
         aggs.append(F.count_if(bad).alias("n_bad"))
+    aggs += extra
     keys = [file_col] if name_col in (None, file_col) else [file_col, name_col]
     per_file = df.groupBy(*keys).agg(*aggs)
     start, end = name_years(F.col(name_col or file_col))
@@ -74,10 +76,10 @@ def accepted_rows(df: DataFrame, files: DataFrame, file_col: str = "file_name",
                   accepted: Column | None = None) -> DataFrame:
     """Rows of ``df`` whose file is accepted in ``files`` (left-semi join).
 
-    ``files`` holds one row per file, so with AQE the join becomes a
-    broadcast once the verdict stage's measured size is under the broadcast
-    threshold, and falls back to a shuffle join (with skew splitting)
-    otherwise.
+    ``files`` holds one row per file. Stage it before (the loads do): its scan
+    then has a true size, so the first plan already broadcasts it when it is
+    under the session's limit and the rows are not shuffled at all; beyond
+    the limit the join shuffles, with skew splitting.
     """
     ok = F.col("reason").isNull() if accepted is None else accepted
     return df.join(files.filter(ok).select(file_col), file_col, "left_semi")
@@ -86,9 +88,21 @@ def accepted_rows(df: DataFrame, files: DataFrame, file_col: str = "file_name",
 # --- V2: duplicates -------------------------------------------------------------
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, count_col: str = "n") -> DataFrame:
-    """Distinct row values occurring more than once, with their count."""
+    """Distinct row values occurring more than once, with their count.
+
+    Only a 256-bit digest of each row is counted; wide values are shuffled for
+    the rows that do repeat. Digests follow Spark's row equality (NULL equals
+    NULL, NaN equals NaN, -0.0 equals 0.0).
+    """
     cols = list(df.columns if cols is None else cols)
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    values = [(F.col(c) + F.lit(0.0)).alias(c) if c in floats else F.col(c) for c in cols]
+    keyed = df.select(*cols, F.sha2(F.to_json(F.struct(*values)), 256).alias("__digest"))
+    repeated = (keyed.groupBy("__digest").agg(F.count(F.lit(1)).alias(count_col))
+                .filter(F.col(count_col) > 1))
+    rows = keyed.join(repeated, "__digest")
+    return rows.groupBy("__digest").agg(*[F.any_value(c).alias(c) for c in cols],
+                                        F.any_value(count_col).alias(count_col)).drop("__digest")
 
 
 def has_duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> bool:

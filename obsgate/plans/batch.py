@@ -13,19 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obsgate.plans.pressure import load_pressure
 from obsgate.plans.temperature import load_temperature
+from obsgate.sinks.parquet import LOAD_ID
 
 
 def load_all(spark: SparkSession, temperature_source, pressure_source, out_root: str | None = None,
              **options) -> DataFrame:
-    """Run both loads; returns their status rows (temperature first)."""
+    """Run both loads; returns their status rows (temperature first).
+
+    With ``out_root`` the per-file verdicts of each load are kept under
+    ``fileReport/``, so that a refused file can be looked up. Staged folders are
+    gone when it returns or raises.
+    """
     def sub(name):
         return None if out_root is None else f"{out_root.rstrip('/')}/{name}"
 
-    t = load_temperature(spark, temperature_source, sub("airTemperature"),
-                         sub("corruptRecords/airTemperature"), **options)
-    p = load_pressure(spark, pressure_source, sub("airPressure"),
-                      sub("corruptRecords/airPressure"), **options)
-    return t.status.unionByName(p.status)
+    loads = ((load_temperature, temperature_source, "airTemperature"), (load_pressure, pressure_source, "airPressure"))
+    out = []
+    for load, source, name in loads:
+        res = load(spark, source, sub(name), sub(f"corruptRecords/{name}"), **options)
+        try:
+            if out_root is not None:
+                res.files.write.mode("overwrite").parquet(f"{sub(f'fileReport/{name}')}/{LOAD_ID}={res.load_id}")
+            out.append(res.status)
+        finally:
+            res.release()
+    return out[0].unionByName(out[1])
 
 
 def main(argv: list[str]) -> int:

@@ -2,47 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from obsgate.sources.text import read_lines, with_file_path
+from obsgate.operators.validate import DAY_KEYS
+from obsgate.sinks.parquet import LOAD_ID, remove_paths, stage, table_schema
+from obsgate.sources.text import files_without_lines, read_lines, with_file_path
 
-STATUS_SCHEMA = T.StructType([
-    T.StructField("pipeline", T.StringType()),
-    T.StructField("files_seen", T.LongType()),
-    T.StructField("files_accepted", T.LongType()),
-    T.StructField("files_rejected", T.LongType()),
-    T.StructField("lines_read", T.LongType()),
-    T.StructField("rows_kept", T.LongType()),
-    T.StructField("rows_quarantined", T.LongType()),
-    T.StructField("rows_loaded", T.LongType()),
-    T.StructField("rows_deduped", T.LongType()),
-    T.StructField("multi_record_days", T.BooleanType()),
-    T.StructField("schema_ok", T.BooleanType()),
-    T.StructField("loaded", T.BooleanType()),
-])
+STATUS_SCHEMA = T.StructType(
+    [T.StructField("pipeline", T.StringType())]
+    + [T.StructField(c, T.LongType()) for c in (
+        "files_seen", "files_accepted", "files_rejected", "lines_read", "rows_kept", "rows_quarantined",
+        "rows_dropped", "rows_staged", "rows_deduped", "rows_loaded")]
+    + [T.StructField(c, T.BooleanType()) for c in ("multi_record_days", "schema_ok", "gates_passed", "loaded")]
+)
 
 
 @dataclass
 class LoadResult:
-    """Everything one load produced. ``loaded`` is the staged final table."""
+    """Everything one load produced. ``loaded`` is the staged final table (written if the gates passed)."""
 
     pipeline: str
     loaded: DataFrame
     quarantine: DataFrame
     files: DataFrame
     status: DataFrame
-    gates: dict[str, bool] = field(default_factory=dict)
+    gates: dict[str, bool | None] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
     staged: list[str] = field(default_factory=list)
+    load_id: str = ""
 
     def release(self) -> None:
         """Delete the staged intermediate folders once nothing reads these frames any more."""
-        from obsgate.sinks.parquet import remove_paths
-
         remove_paths(self.loaded.sparkSession, self.staged)
         self.staged.clear()
 
@@ -50,6 +44,17 @@ class LoadResult:
 FILE_KEY = "file_path"  # identifies a file in per-file gates (names may repeat across folders)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[list[str]]:
+    """Paths of staged folders; they are deleted if the load fails on the way."""
+    paths: list[str] = []
+    try:
+        yield paths
+    except BaseException:
+        remove_paths(spark, paths)
+        raise
+
+
 def as_lines(spark: SparkSession, source: str | Sequence[str] | DataFrame) -> DataFrame:
     """``(value, file_name, file_path)``: a path / glob / list of paths is scanned;
     a DataFrame must carry ``value`` and ``file_name`` (``file_path`` optional)."""
@@ -58,45 +63,55 @@ def as_lines(spark: SparkSession, source: str | Sequence[str] | DataFrame) -> Da
     return read_lines(spark, source)
 
 
-def count_all(measures: dict[str, tuple[DataFrame, Column]]) -> dict[str, int]:
-    """Evaluate several one-row aggregates in ONE job.
-
-    Each measure is ``(frame, aggregate expression)``; the one-row results are
-    unioned (no cross join) and collected together: a handful of numbers.
-    """
-    parts = [
-        df.agg(expr.cast("long").alias("value")).select(F.lit(name).alias("measure"), "value")
-        for name, (df, expr) in measures.items()
-    ]
-    rows = reduce(DataFrame.unionByName, parts).collect()
-    return {r["measure"]: int(r["value"] or 0) for r in rows}
-
-
-def load_counts(files: DataFrame, kept: DataFrame, bad: DataFrame, loaded: DataFrame,
-                multi_days: DataFrame) -> tuple[dict[str, int], bool]:
-    """Status counts of a load plus the several-records-per-day verdict, in one job."""
-    n = F.count(F.lit(1))
-    c = count_all({
-        "files_seen": (files, n),
-        "files_accepted": (files, F.count_if(F.col("reason").isNull())),
-        "lines_read": (files, F.sum("n_rows")),
-        "rows_kept": (kept, n),
-        "rows_quarantined": (bad, n),
-        "rows_loaded": (loaded, n),
-        "multi_record_days": (multi_days, n),
-    })
-    multi = c.pop("multi_record_days") > 0
+def staged_verdicts(spark: SparkSession, source, files: DataFrame, name: str, paths: list[str]) -> DataFrame:
+    """The per-file verdicts, staged: one row per file, those without lines included (``EMPTY``)."""
+    out = stage(files, name, paths)
+    if isinstance(source, DataFrame):
+        return out
+    empty = files_without_lines(spark, source, out).select(
+        "*", F.lit("EMPTY").alias("reason"), F.lit(False).alias("covered"), F.lit(0).cast("long").alias("n_rows"))
+    return stage(out.unionByName(empty, allowMissingColumns=True), f"{name}-all", paths)
+
+
+def file_counts(files: DataFrame, **sums: Column) -> dict[str, int]:
+    """Counts over the verdicts, one row per file: no pass over the rows."""
+    ok = F.count_if(F.col("reason").isNull())
+    row = files.agg(
+        F.count(F.lit(1)).alias("files_seen"), ok.alias("files_accepted"), F.sum("n_rows").alias("lines_read"),
+        *[F.sum(c).alias(n) for n, c in sums.items()]).first().asDict()
+    c = {k: int(v or 0) for k, v in row.items()}
     c["files_rejected"] = c["files_seen"] - c["files_accepted"]
-    return c, multi
+    return c
+
+
+def day_counts(loaded: DataFrame) -> tuple[int, bool]:
+    """Rows, and whether some day has several: one grouped pass."""
+    days = loaded.groupBy(*DAY_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    row = days.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    return int(row["rows"] or 0), (row["most"] or 0) > 1
+
+
+def touched(existing: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The stored rows of the years the load brings (a few hundred values at most): other partitions are not read."""
+    years = [r["YEAR"] for r in loaded.select("YEAR").distinct().collect()]
+    return existing.filter(F.col("YEAR").isin([y for y in years if y is not None]) | F.col("YEAR").isNull())
+
+
+def new_rows(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Distinct rows that are not stored yet."""
+    return rows if existing is None else rows.subtract(existing.select(*rows.columns))
+
+
+def matches_target(spark: SparkSession, loaded: DataFrame, output: str | None) -> bool | None:
+    """Do the rows have the columns and types of the table at ``output``? None if there is none yet."""
+    target = None if output is None else table_schema(spark, output)
+    if target is None:
+        return None
+    return {(f.name.lower(), f.dataType) for f in loaded.schema} == {
+        (f.name.lower(), f.dataType) for f in target if f.name != LOAD_ID}
 
 
 def status_frame(spark: SparkSession, pipeline: str, counts: dict[str, int],
-                 gates: dict[str, bool]) -> DataFrame:
-    row = (
-        pipeline,
-        counts["files_seen"], counts["files_accepted"], counts["files_rejected"],
-        counts["lines_read"], counts["rows_kept"], counts["rows_quarantined"],
-        counts["rows_loaded"], counts["rows_kept"] - counts["rows_loaded"],
-        gates.get("multi_record_days"), gates.get("schema_ok"), gates.get("loaded"),
-    )
-    return spark.createDataFrame([row], STATUS_SCHEMA)
+                 gates: dict[str, bool | None]) -> DataFrame:
+    known = {"pipeline": pipeline, **counts, **gates}
+    return spark.createDataFrame([tuple(known.get(f.name) for f in STATUS_SCHEMA)], STATUS_SCHEMA)

@@ -85,7 +85,8 @@ src AS (
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
          CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) AS disc,
          CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) AS tax
-  FROM lineitem),
+  FROM (SELECT * FROM lineitem UNION ALL
+        SELECT * FROM lineitem WHERE (l_orderkey * 8 + l_linenumber) % 103 = 0)),
 flags AS (
   SELECT *,
          (k % 11 = 0 OR k % 19 = 0) AS arity_bad,
@@ -199,7 +200,7 @@ asrc AS (
          CAST(month(o_orderdate) AS INTEGER) AS m,
          CAST(day(o_orderdate) AS INTEGER) AS d,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS p
-  FROM orders),
+  FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 101 = 0)),
 arch AS (
   SELECT a.*, r.split_range, (r.split_range IS NOT NULL) AS known,
          CAST(r.first_year + a.k % r.n_years AS INTEGER) AS y,
@@ -300,15 +301,32 @@ CONVERT_BACK_EXCEPT = f"""
 WITH {ARCHIVE}
 SELECT {_reverse('OBSERVATION1')} AS OBSERVATION1, {_reverse('OBSERVATION2')} AS OBSERVATION2,
        {_reverse('OBSERVATION3')} AS OBSERVATION3
-FROM conv WHERE split_range IN ('1862_1937', '1756_1858', '1859_1861')
+FROM conv
 EXCEPT
 SELECT o1 AS OBSERVATION1, o2 AS OBSERVATION2, o3 AS OBSERVATION3
-FROM good WHERE split_range IN ('1862_1937', '1756_1858', '1859_1861')
+FROM good
 """
 
+_INCH = {"1756_1858": repr(29.69 * 1.333224), "1859_1861": repr(29.69 * 1.333224 * 0.1)}
+_OTHER = ", ".join(
+    "CASE split_range " + " ".join(f"WHEN '{r}' THEN {_round(f'o{i}', f, 1)}" for r, f in _INCH.items())
+    + f" ELSE OBSERVATION{i} END AS OBSERVATION{i}" for i in (1, 2, 3))
 UNION_DISTINCT = f"""
 WITH {ARCHIVE}
-SELECT DISTINCT * FROM (SELECT {CANON} FROM conv UNION ALL SELECT {CANON} FROM conv)
+SELECT DISTINCT * FROM (SELECT {CANON} FROM conv UNION ALL
+  SELECT y AS YEAR, m AS MONTH, d AS DAY, {_OTHER}, split_range AS SPLIT_RANGE FROM conv)
+"""
+
+SQL_DAYS = f"""
+WITH {ARCHIVE}
+SELECT DISTINCT split_range AS SPLIT_RANGE, y AS YEAR, m AS MONTH, d AS DAY FROM conv
+"""
+
+QUARANTINE_TWO_RUNS = f"""
+WITH {ARCHIVE}
+SELECT file_name, CASE WHEN k % 97 = 0 AND k % 89 = 0 THEN 'ARITY_TYPE' WHEN k % 97 = 0 THEN 'ARITY' ELSE 'TYPE' END
+         AS error_class, 2 * count(*) AS n_lines, CAST(2 AS BIGINT) AS n_loads
+FROM arch WHERE is_bad GROUP BY ALL
 """
 
 PLOADED = """
@@ -327,8 +345,31 @@ SELECT YEAR, MONTH, DAY, OBSERVATION1, OBSERVATION2, OBSERVATION3, SPLIT_RANGE,
 FROM ploaded
 """
 
+DAILY = """
+day_all AS (SELECT CAST(l_shipdate AS DATE) AS day, min(l_quantity) AS a, max(l_quantity) AS b, min(l_discount) AS c,
+                   max(l_discount) AS d, min(l_tax) AS e, max(l_tax) AS f FROM lineitem GROUP BY 1),
+day_returned AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_returnflag = 'R'),
+td AS (
+  SELECT CAST(2 AS BIGINT) AS files_seen, CAST(1 AS BIGINT) AS files_accepted,
+    (SELECT count(*) + count(*) FILTER (WHERE day(day) = 1) FROM day_all)
+      + (SELECT count(*) FROM day_returned) AS lines_read,
+    (SELECT count(*) + count(*) FILTER (WHERE day(day) = 1) FROM day_all) AS rows_kept,
+    CAST(0 AS BIGINT) AS rows_quarantined, (SELECT count(*) FROM day_all) AS rows_staged,
+    false AS multi_record_days)
+"""
+
+TEMPERATURE_TABLE = f"""
+WITH {DAILY}
+SELECT CAST(year(day) AS INTEGER) AS YEAR, CAST(month(day) AS INTEGER) AS MONTH, CAST(day(day) AS INTEGER) AS DAY,
+       {", ".join(f"CAST(CAST({x} AS DECIMAL(18,2)) AS DOUBLE) AS {n}" for x, n in zip("abcdef", (
+           "MORG_TEMP", "NOON_TEMP", "EVE_TEMP", "MAX_TEMP", "MIN_TEMP", "MEAN_TEMP")))},
+       CASE WHEN year(day) BETWEEN 1961 AND 2012 THEN 'SMHI' ELSE 'AUTOMATIC_STN' END AS PUBLISHED_CATEGORY,
+       false AS MAX_TEMP_isnan, false AS MIN_TEMP_isnan, false AS MEAN_TEMP_isnan
+FROM day_all
+"""
+
 LOAD_STATUS = f"""
-WITH {LINEITEM}, {TEMP_FILES}, {ARCHIVE}, {PLOADED},
+WITH {LINEITEM}, {TEMP_FILES}, {ARCHIVE}, {PLOADED}, {DAILY},
 t AS (
   SELECT
     (SELECT count(*) FROM tfiles) AS files_seen,
@@ -338,7 +379,7 @@ t AS (
         (SELECT file_name FROM tfiles WHERE reason IS NULL)) AS rows_kept,
     (SELECT count(*) FROM rows_ WHERE NOT ok AND file_name IN
         (SELECT file_name FROM tfiles WHERE reason IS NULL)) AS rows_quarantined,
-    (SELECT count(*) FROM tkept) AS rows_loaded,
+    (SELECT count(*) FROM tkept) AS rows_staged,
     EXISTS (SELECT 1 FROM tkept GROUP BY YEAR, MONTH, DAY HAVING count(*) > 1) AS multi_record_days),
 p AS (
   SELECT
@@ -348,17 +389,24 @@ p AS (
     (SELECT count(*) FROM good WHERE file_name IN
         (SELECT file_name FROM pfiles WHERE reason IS NULL)) AS rows_kept,
     (SELECT count(*) FROM arch WHERE is_bad) AS rows_quarantined,
-    (SELECT count(*) FROM ploaded) AS rows_loaded,
+    (SELECT count(*) FROM ploaded) AS rows_staged,
     EXISTS (SELECT 1 FROM ploaded GROUP BY YEAR, MONTH, DAY HAVING count(*) > 1) AS multi_record_days)
 SELECT 'temperature' AS pipeline, files_seen, files_accepted, files_seen - files_accepted AS files_rejected,
-       lines_read, rows_kept, rows_quarantined, rows_loaded, rows_kept - rows_loaded AS rows_deduped,
-       multi_record_days, true AS schema_ok,
-       (rows_loaded > 0 AND NOT multi_record_days) AS loaded
+       lines_read, rows_kept, rows_quarantined, CAST(0 AS BIGINT) AS rows_dropped, rows_staged,
+       rows_kept - rows_staged AS rows_deduped, CASE WHEN (rows_staged > 0 AND NOT multi_record_days) THEN rows_staged ELSE 0 END AS rows_loaded,
+       multi_record_days, CAST(NULL AS BOOLEAN) AS schema_ok, (rows_staged > 0 AND NOT multi_record_days) AS gates_passed, (rows_staged > 0 AND NOT multi_record_days) AS loaded
 FROM t
 UNION ALL
-SELECT 'pressure', files_seen, files_accepted, files_seen - files_accepted, lines_read, rows_kept,
-       rows_quarantined, rows_loaded, rows_kept - rows_loaded, multi_record_days, true,
-       files_accepted > 0
+SELECT 'temperature' AS pipeline, files_seen, files_accepted, files_seen - files_accepted AS files_rejected,
+       lines_read, rows_kept, rows_quarantined, CAST(0 AS BIGINT) AS rows_dropped, rows_staged,
+       rows_kept - rows_staged AS rows_deduped, CASE WHEN (rows_staged > 0 AND NOT multi_record_days) THEN rows_staged ELSE 0 END AS rows_loaded,
+       multi_record_days, CAST(NULL AS BOOLEAN) AS schema_ok, (rows_staged > 0 AND NOT multi_record_days) AS gates_passed, (rows_staged > 0 AND NOT multi_record_days) AS loaded
+FROM td
+UNION ALL
+SELECT 'pressure' AS pipeline, files_seen, files_accepted, files_seen - files_accepted AS files_rejected,
+       lines_read, rows_kept, rows_quarantined, CAST(0 AS BIGINT) AS rows_dropped, rows_staged,
+       rows_kept - rows_staged AS rows_deduped, CASE WHEN (files_accepted > 0) THEN rows_staged ELSE 0 END AS rows_loaded,
+       multi_record_days, CAST(NULL AS BOOLEAN) AS schema_ok, (files_accepted > 0) AS gates_passed, (files_accepted > 0) AS loaded
 FROM p
 """
 
@@ -376,7 +424,9 @@ ev AS (
 NAN_FILL_COLS = f"WITH {EVENTS_NULLS} SELECT event_id, user_id, value, value_isnan FROM ev"
 NAN_FILL_ALL = f"WITH {EVENTS_NULLS} SELECT event_id, COALESCE(user_id, 0) AS user_id, value, value_isnan FROM ev"
 
-DUPLICATE_ROWS = "SELECT text, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1"
+DUPLICATE_ROWS = """
+SELECT text, lang, source, n_chars, count(*) AS n FROM documents GROUP BY ALL HAVING count(*) > 1
+"""
 
 MULTI_RECORD_DAYS = """
 SELECT user_id, CAST(year(ts) AS INTEGER) AS YEAR, CAST(month(ts) AS INTEGER) AS MONTH,
@@ -392,16 +442,17 @@ FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS YEAR,
       FROM orders)
 """
 
-RANGE_CHECK = """
-SELECT c_custkey, c_acctbal, COALESCE(c_acctbal BETWEEN 0 AND 5000, false) AS in_range FROM customer
+IN_RANGE = "COALESCE(" + " AND ".join(f"OBSERVATION{i} BETWEEN 938.4 AND 1063.7" for i in (1, 2, 3)) + ", false)"
+
+RANGE_CHECK = f"""
+WITH {ARCHIVE}
+SELECT {CANON}, {IN_RANGE} AS in_range FROM conv
 """
 
-RANGE_SUMMARY = """
-SELECT n_rows, n_in_range, n_out_of_range, n_out_of_range = 0 AS all_in_range
-FROM (SELECT count(*) AS n_rows,
-             count(*) FILTER (WHERE COALESCE(c_acctbal BETWEEN 0 AND 5000, false)) AS n_in_range,
-             count(*) FILTER (WHERE NOT COALESCE(c_acctbal BETWEEN 0 AND 5000, false)) AS n_out_of_range
-      FROM customer)
+RANGE_SUMMARY = f"""
+WITH {ARCHIVE}
+SELECT n_rows, n_in_range, n_rows - n_in_range AS n_out_of_range, n_in_range = n_rows AS all_in_range
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE {IN_RANGE}) AS n_in_range FROM conv)
 """
 
 ORACLE = {
@@ -430,25 +481,17 @@ ORACLE = {
     "pressure_load": PRESSURE_LOAD,
     "temperature_load": TEMPERATURE_LOAD,
     "load_status": LOAD_STATUS,
+    "temperature_table": TEMPERATURE_TABLE,
+    "text_directory_load": PRESSURE_LOAD,
+    "quarantine_two_runs": QUARANTINE_TWO_RUNS,
+    "sql_days": SQL_DAYS,
 }
 
-_TYPE_NAMES = "CASE {c} WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'bigint' " \
-              "WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower({c}) END"
-
-SCHEMA_INTEGRITY = f"""
-WITH s AS (
-  SELECT column_name, column_type, row_number() OVER () - 1 AS pos
-  FROM (DESCRIBE SELECT YEAR, MONTH, DAY, OBSERVATION1, OBSERVATION2, OBSERVATION3
-                 FROM ({PARSE_LINES_GOOD}))),
-t AS (
-  SELECT column_name, column_type, row_number() OVER () - 1 AS pos
-  FROM (DESCRIBE SELECT YEAR, MONTH, DAY, OBSERVATION1, OBSERVATION2, OBSERVATION3
-                 FROM ({CONVERT_ROUND})))
-SELECT CAST(COALESCE(s.pos, t.pos) AS INTEGER) AS position,
-       s.column_name AS source_name, {_TYPE_NAMES.format(c='s.column_type')} AS source_type,
-       t.column_name AS target_name, {_TYPE_NAMES.format(c='t.column_type')} AS target_type,
-       COALESCE(lower(s.column_name) = lower(t.column_name) AND s.column_type = t.column_type, false) AS matches
-FROM s FULL JOIN t ON s.pos = t.pos
-"""
-
-ORACLE["schema_integrity"] = SCHEMA_INTEGRITY
+# The converted rows' columns as they must come back from the table, with their values counted.
+_COLUMNS = (("YEAR", "int", "y"), ("MONTH", "int", "m"), ("DAY", "int", "d"), ("OBSERVATION1", "double", "OBSERVATION1"),
+            ("OBSERVATION2", "double", "OBSERVATION2"), ("OBSERVATION3", "double", "OBSERVATION3"),
+            ("SPLIT_RANGE", "string", "split_range"))
+ORACLE["schema_integrity"] = f"WITH {ARCHIVE}\n" + "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS source_name, '{t}' AS source_type, '{n}' AS target_name, "
+    f"'{t}' AS target_type, true AS matches, count(*) AS n_rows, count({c}) AS n_values FROM conv"
+    for i, (n, t, c) in enumerate(_COLUMNS))

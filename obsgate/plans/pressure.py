@@ -13,9 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from obsgate.operators.parse import ERROR_CLASS, parse_by_layout
 from obsgate.operators.route import MANDATORY_NULL, route_pressure, to_quarantine
 from obsgate.operators.transform import dedupe, fill_missing, to_hpa
-from obsgate.operators.validate import accepted_rows, coverage_by_file, multi_record_days
-from obsgate.plans.common import FILE_KEY, LoadResult, as_lines, load_counts, status_frame
-from obsgate.sinks.parquet import stage, write_quarantine, write_table
+from obsgate.operators.validate import accepted_rows, coverage_by_file
+from obsgate.plans.common import (
+    FILE_KEY,
+    LoadResult,
+    as_lines,
+    day_counts,
+    file_counts,
+    matches_target,
+    new_rows,
+    staged_verdicts,
+    staging,
+    status_frame,
+)
+from obsgate.sinks.parquet import new_load_id, stage, write_quarantine, write_table
 from obsgate.sources.text import with_file_path
 from obsgate.sources.registry import (
     PRESSURE_CANONICAL,
@@ -58,18 +69,22 @@ def parse_pressure(lines: DataFrame, *, ranges: Mapping[str, str] = PRESSURE_FIL
 
 
 def pressure_files(parsed: DataFrame) -> DataFrame:
-    """Per-file verdicts: unknown name, all rows corrupt, or coverage of good rows."""
-    good = F.col(ERROR_CLASS).isNull()
+    """Per-file verdicts: unknown name, all rows corrupt, or coverage of good rows.
+
+    A file is known if its rows carry a range, whatever registry gave it.
+    """
+    good, known = F.col(ERROR_CLASS).isNull(), F.col("SPLIT_RANGE").isNotNull()
     files = coverage_by_file(
-        parsed.withColumn("__known", F.col("SPLIT_RANGE").isNotNull()),
+        parsed,
         FILE_KEY,
         name_col="file_name",
-        where=good & F.col("__known"),
+        where=good & known,
         bad=F.col(ERROR_CLASS).isNotNull(),
+        extra=[F.max("SPLIT_RANGE").alias("split_range"),
+               F.count_if(good & known & F.col("YEAR").isNull()).alias("n_no_year")],
     )
-    known = range_of(F.col("file_name")).isNotNull()
     reason = (
-        F.when(~known, F.lit("UNKNOWN_FILE"))
+        F.when(F.col("split_range").isNull(), F.lit("UNKNOWN_FILE"))
         .when(F.col("n_bad") == F.col("n_rows"), F.lit("ALL_CORRUPT"))
         .otherwise(F.col("reason"))
     )
@@ -101,32 +116,43 @@ def load_pressure(
     legacy_int_fill: bool = True,
     mode: str = "append",
     quarantine_format: str = "csv",
+    load_id: str | None = None,
+    existing: DataFrame | None = None,
 ) -> LoadResult:
-    staged: list[str] = []
-    parsed = stage(parse_pressure(as_lines(spark, source), ranges=ranges, policy=policy),
-                   "pressure-parsed", staged)
-    files = pressure_files(parsed)
-    good, _ = route_pressure(parsed)
-    good = accepted_rows(good, files, FILE_KEY)
-    bad = pressure_quarantine(parsed)
-    if not legacy_int_fill:
-        # Without the legacy 0-fill a row without a YEAR has no partition to
-        # go to: quarantine it instead of writing YEAR=0.
-        no_year = F.col("YEAR").isNull()
-        bad = bad.unionByName(to_quarantine(good.filter(no_year), F.lit(MANDATORY_NULL)))
-        good = good.filter(~no_year)
-    kept = process_pressure(good, swedish_inch_mm=swedish_inch_mm, legacy_int_fill=legacy_int_fill)
-    loaded = stage(dedupe(kept), "pressure-loaded", staged)
-
-    counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
-    gates = {
-        "multi_record_days": multi,
-        "schema_ok": True,
-        "loaded": counts["files_accepted"] > 0,
-    }
-    if quarantine_path is not None and counts["rows_quarantined"] > 0:
-        write_quarantine(bad, quarantine_path, fmt=quarantine_format)
-    if output is not None and gates["loaded"]:
-        write_table(loaded, output, PARTITION_COLS, mode)
-    status = status_frame(spark, "pressure", counts, gates)
-    return LoadResult("pressure", loaded, bad, files, status, gates, counts, staged)
+    """Load ``source``. ``existing``: rows stored before; they are not loaded again."""
+    load_id = load_id or new_load_id()
+    with staging(spark) as staged:
+        parsed = stage(parse_pressure(as_lines(spark, source), ranges=ranges, policy=policy),
+                       "pressure-parsed", staged)
+        files = staged_verdicts(spark, source, pressure_files(parsed), "pressure-files", staged)
+        good, _ = route_pressure(parsed)
+        good = accepted_rows(good, files, FILE_KEY)
+        bad = pressure_quarantine(parsed)
+        if not legacy_int_fill:
+            # Without the legacy 0-fill a row without a YEAR has no partition to
+            # go to: quarantine it instead of writing YEAR=0.
+            no_year = F.col("YEAR").isNull()
+            bad = bad.unionByName(to_quarantine(good.filter(no_year), F.lit(MANDATORY_NULL)))
+            good = good.filter(~no_year)
+        kept = process_pressure(good, swedish_inch_mm=swedish_inch_mm, legacy_int_fill=legacy_int_fill)
+        loaded = stage(new_rows(dedupe(kept), existing), "pressure-loaded", staged)
+
+        ok = F.col("reason").isNull()
+        counts = file_counts(files, n_good=F.when(ok, F.col("n_counted")), n_no_year=F.when(ok, F.col("n_no_year")),
+                             rows_quarantined=F.when(F.col("split_range").isNotNull(), F.col("n_bad")))
+        kept_rows, no_years = counts.pop("n_good"), counts.pop("n_no_year")
+        if not legacy_int_fill:
+            kept_rows -= no_years
+            counts["rows_quarantined"] += no_years
+        rows, multi = day_counts(loaded)
+        gates = {"multi_record_days": multi, "schema_ok": matches_target(spark, loaded, output)}
+        gates["gates_passed"] = counts["files_accepted"] > 0 and gates["schema_ok"] is not False
+        gates["loaded"] = output is not None and gates["gates_passed"]
+        counts |= {"rows_kept": kept_rows, "rows_dropped": 0, "rows_staged": rows, "rows_deduped": kept_rows - rows,
+                   "rows_loaded": rows if gates["loaded"] else 0}
+        if quarantine_path is not None and counts["rows_quarantined"] > 0:
+            write_quarantine(bad, quarantine_path, load_id, fmt=quarantine_format)
+        if gates["loaded"]:
+            write_table(loaded, output, PARTITION_COLS, mode, load_id)
+        status = status_frame(spark, "pressure", counts, gates)
+        return LoadResult("pressure", loaded, bad, files, status, gates, counts, staged, load_id)

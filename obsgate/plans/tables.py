@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obsgate.operators.parse import ERROR_CLASS, parse_lines
-from obsgate.operators.route import route_pressure, route_temperature
+from obsgate.operators.route import QUARANTINE_COLUMNS, route_pressure, route_temperature
 from obsgate.operators.transform import (
     categorize_publisher,
     convert_back,
@@ -38,13 +38,21 @@ from obsgate.operators.validate import (
     roundtrip_mismatches,
     schema_diff,
 )
+from obsgate.plans.batch import load_all
 from obsgate.plans.pressure import load_pressure, parse_pressure, pressure_files, range_of
 from obsgate.plans.temperature import load_temperature
 from obsgate.sinks.parquet import scratch_path, stage, write_quarantine, write_table
-from obsgate.sources.registry import PRESSURE_C, PRESSURE_CANONICAL, TEMPERATURE
-from obsgate.sources.text import spread, with_provenance
+from obsgate.sources.registry import (
+    MAX_AIR_PRESSURE_HPA,
+    MIN_AIR_PRESSURE_HPA,
+    PRESSURE_C,
+    PRESSURE_CANONICAL,
+    TEMPERATURE,
+)
+from obsgate.sources.text import read_lines, with_provenance
 
 TAB = "\t"
+SWEDISH_INCH = 29.69  # mm; the other conversion of union_distinct
 OBS = ["OBSERVATION1", "OBSERVATION2", "OBSERVATION3"]
 
 
@@ -84,8 +92,8 @@ def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     k%97=0) one token too many; k%89=0 first reading 'XXX'; k%79=0 year with
     trailing blanks; k%83=0 third reading blank.
     """
-    o = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus"))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus")
     k = F.col("o_orderkey")
     y = _s(F.year("o_orderdate"))
     t_year = F.when(k % 79 == 0, F.concat(y, F.lit("  "))).otherwise(y)
@@ -108,10 +116,11 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = 8*l_orderkey + l_linenumber. Defects: k%11=0 only six tokens (still
     acceptable); k%19=0 blank year and seven tokens; k%13=0 blank noon
     reading (right arity, not acceptable); k%17=0 morning reading 'XXX'.
+    Lines with k%103=0 come twice.
     """
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_returnflag", "l_linestatus", "l_shipdate")
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     y = _s(F.year("l_shipdate"))
     t_year = F.when(k % 19 == 0, F.lit("")).otherwise(y)
@@ -126,7 +135,33 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_join(base6, t_max, _s(F.col("l_linenumber")), _s(F.col("l_orderkey"))))
     )
     name = F.concat(F.lit("lineitem_"), F.col("l_returnflag"), F.col("l_linestatus"), F.lit("_1995_2001.txt"))
-    return li.select(line.alias("value"), name.alias("file_name"))
+    return _doubled(li.select(line.alias("value"), name.alias("file_name"), (k % 103 == 0).alias("twice")))
+
+
+def _doubled(lines: DataFrame) -> DataFrame:
+    """Lines marked ``twice`` once more."""
+    copies = F.when(F.col("twice"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return lines.withColumn("copy", F.explode(copies)).drop("copy", "twice")
+
+
+def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as daily temperature files: one line per shipping day.
+
+    ``daily_all_1995_2001.txt`` has every day (those of the first of a month
+    twice, as equal lines); ``daily_returned_1990_2001.txt``, of the days
+    with returned items, lacks years of its name and fails coverage.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag")
+    day = F.col("l_shipdate").cast("date").alias("day")
+    stats = [F.min("l_quantity").alias("a"), F.max("l_quantity").alias("b"), F.min("l_discount").alias("c"),
+             F.max("l_discount").alias("d"), F.min("l_tax").alias("e"), F.max("l_tax").alias("f")]
+    every = li.groupBy(day).agg(*stats).withColumn("file_name", F.lit("daily_all_1995_2001.txt"))
+    returned = (li.filter(F.col("l_returnflag") == "R").groupBy(day).agg(*stats)
+                .withColumn("file_name", F.lit("daily_returned_1990_2001.txt")))
+    rows = every.unionByName(returned)
+    line = _join(_s(F.year("day")), _s(F.month("day")), _s(F.dayofmonth("day")), *[_dec2(F.col(c)) for c in "abcdef"])
+    twice = (F.dayofmonth("day") == 1) & F.col("file_name").startswith("daily_all")
+    return _doubled(rows.select(line.alias("value"), "file_name", twice.alias("twice")))
 
 
 # FIXED VALUES of the virtual barometer archive: order priority (and status)
@@ -163,9 +198,10 @@ def pressure_archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o3 = order key. YEAR = first year + k % years. Defects: k%97=0 last token
     missing, k%89=0 o1 'XXX', k%83=0 o3 blank. 1938_1960 cycles over 22 of
     its 23 years (fails coverage); the ``_copy`` file is not in the registry.
+    Lines with k%101=0 come twice.
     """
-    o = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority")
     k = F.col("o_orderkey")
     firsts = F.create_map(*[F.lit(x) for name, first, _ in ARCHIVE_FILES for x in (name, first)])
     spans = F.create_map(*[F.lit(x) for name, _, years in ARCHIVE_FILES for x in (name, years)])
@@ -194,7 +230,7 @@ def pressure_archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(layout_c)
     )
     toks = F.when(k % 97 == 0, F.slice(toks, 1, F.size(toks) - 1)).otherwise(toks)
-    return step.select(F.concat_ws(TAB, toks).alias("value"), fname)
+    return _doubled(step.select(F.concat_ws(TAB, toks).alias("value"), fname, (k % 101 == 0).alias("twice")))
 
 
 # ---------------------------------------------------------------------------
@@ -210,7 +246,7 @@ def parse_lines_good(spark, sf_dir):
 def parse_lines_bad(spark, sf_dir):
     """Quarantined raw lines with their error class."""
     _, bad = route_pressure(parse_lines(orders_lines(spark, sf_dir), PRESSURE_C))
-    return bad
+    return bad.select(*QUARANTINE_COLUMNS)
 
 
 def parse_partial_policy(spark, sf_dir):
@@ -233,7 +269,7 @@ def accept_route_keep(spark, sf_dir):
 def accept_route_bad(spark, sf_dir):
     """Quarantined temperature lines (MANDATORY_NULL for blank mandatory values)."""
     _, bad = _temperature_routed(spark, sf_dir)
-    return bad
+    return bad.select(*QUARANTINE_COLUMNS)
 
 
 def coverage_by_file(spark, sf_dir):
@@ -245,10 +281,10 @@ def coverage_by_file(spark, sf_dir):
 
 def coverage_accepted_rows(spark, sf_dir):
     """Good rows of the accepted files only (left-semi join on verdicts)."""
-    # Staged once: the verdicts and the rows read the same parsed lines.
+    # Staged once: the verdicts and the rows read the same parsed lines, the join the verdicts' true size.
     parsed = stage(parse_pressure(pressure_archive_lines(spark, sf_dir)), "accepted-rows-parsed")
     good, _ = route_pressure(parsed)
-    return accepted_rows(good, pressure_files(parsed), "file_path").select("file_name", "YEAR", "MONTH", "DAY")
+    return accepted_rows(good, stage(pressure_files(parsed), "accepted-rows-files"), "file_path").select("file_name", "YEAR", "MONTH", "DAY")
 
 
 def provenance_flag(spark, sf_dir):
@@ -303,29 +339,29 @@ def convert_round(spark, sf_dir):
 def convert_back_except(spark, sf_dir):
     """Reverse-converted readings that do not round-trip (EXCEPT DISTINCT)."""
     # Staged once: both sides of the EXCEPT read the same parsed rows.
-    good = stage(_archive_good(spark, sf_dir).filter(
-        F.col("SPLIT_RANGE").isin("1862_1937", "1756_1858", "1859_1861")), "roundtrip-good")
+    good = stage(_archive_good(spark, sf_dir), "roundtrip-good")
     source_cols = {
-        "1862_1937": ("OBSERVATION1", "OBSERVATION2", "OBSERVATION3"),
         "1756_1858": ("BARO_OBS1", "BARO_OBS2", "BARO_OBS3"),
         "1859_1861": ("REDUCED_AIR_PRESSURE1", "REDUCED_AIR_PRESSURE2", "REDUCED_AIR_PRESSURE3"),
     }
     source = good.select(*[
-        F.coalesce(*[F.when(F.col("SPLIT_RANGE") == r, F.col(cols[i])) for r, cols in source_cols.items()])
+        F.coalesce(*[F.when(F.col("SPLIT_RANGE") == r, F.col(cols[i])) for r, cols in source_cols.items()],
+                   F.when(~F.col("SPLIT_RANGE").isin(*source_cols), F.col(OBS[i])))
         .alias(f"OBSERVATION{i + 1}") for i in range(3)
     ])
     return roundtrip_mismatches(convert_back(to_hpa(good)), source)
 
 
 def union_distinct(spark, sf_dir):
-    """The same load merged twice, then de-duplicated."""
-    rows = convert_round(spark, sf_dir)
-    return dedupe(merge(rows, rows))
+    """Two conversions that differ in two ranges only (inch of 25.4 and of
+    29.69 mm), merged, then de-duplicated."""
+    good = _archive_good(spark, sf_dir)
+    return dedupe(merge(to_hpa(good), to_hpa(good, swedish_inch_mm=SWEDISH_INCH)))
 
 
 def duplicate_rows(spark, sf_dir):
-    """V2: document texts that occur more than once."""
-    return duplicate_rows_op(table(spark, sf_dir, "documents").select("text"))
+    """V2: rows of documents that occur more than once, over all columns but the key."""
+    return duplicate_rows_op(table(spark, sf_dir, "documents").drop("doc_id"))
 
 
 def multi_record_days(spark, sf_dir):
@@ -344,22 +380,24 @@ def day_rank(spark, sf_dir):
 
 
 def schema_integrity(spark, sf_dir):
-    """V4: parsed layout-C rows against the canonical converted schema."""
-    parsed = parse_lines_good(spark, sf_dir).drop("file_name")
-    target = convert_round(spark, sf_dir).drop("SPLIT_RANGE")
-    return schema_diff(spark, parsed, target)
+    """V4: the converted rows against the table they were written to, with rows and values read back per column."""
+    rows = stage(convert_round(spark, sf_dir), "schema-rows")
+    path = scratch_path(spark, "schema-table")
+    write_table(rows, path, ["SPLIT_RANGE", "YEAR"])
+    back = spark.read.parquet(path).select(*rows.columns)
+    counts = back.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(c) for c in back.columns])
+    values = counts.unpivot(["n_rows"], back.columns, "target_name", "n_values")
+    return schema_diff(spark, rows, back).join(values, "target_name")
 
 
 def range_check(spark, sf_dir):
-    """Account balances checked against [0, 5000]."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return range_check_op(c, ["c_acctbal"], 0.0, 5000.0)
+    """Three converted readings of every row checked against the plausible range."""
+    return range_check_op(convert_round(spark, sf_dir), OBS, MIN_AIR_PRESSURE_HPA, MAX_AIR_PRESSURE_HPA)
 
 
 def range_summary(spark, sf_dir):
     """V5: one-row summary of the same check."""
-    c = table(spark, sf_dir, "customer")
-    return range_summary_op(c, ["c_acctbal"], 0.0, 5000.0)
+    return range_summary_op(convert_round(spark, sf_dir), OBS, MIN_AIR_PRESSURE_HPA, MAX_AIR_PRESSURE_HPA)
 
 
 def partitioned_roundtrip(spark, sf_dir):
@@ -372,7 +410,7 @@ def partitioned_roundtrip(spark, sf_dir):
 def quarantine_roundtrip(spark, sf_dir):
     """K3, K4: bad lines written to a per-file quarantine table and read back."""
     path = scratch_path(spark, "roundtrip-quarantine")
-    write_quarantine(parse_lines_bad(spark, sf_dir), path)
+    write_quarantine(parse_lines_bad(spark, sf_dir), path, "only")
     back = (spark.read.schema("line string, error_class string, file_name string")
             .options(header="true").csv(path))
     return back.select("file_name", "line", "error_class")
@@ -394,10 +432,52 @@ def temperature_load(spark, sf_dir):
 
 
 def load_status(spark, sf_dir):
-    """One status row per load."""
-    t = load_temperature(spark, lineitem_lines(spark, sf_dir))
-    p = _pressure_load(spark, sf_dir)
-    return t.status.unionByName(p.status)
+    """One status row per load; the first is refused (several records a day), the others are written."""
+    t = load_temperature(spark, lineitem_lines(spark, sf_dir), scratch_path(spark, "status-refused"))
+    t.release()
+    both = load_all(spark, daily_lines(spark, sf_dir), pressure_archive_lines(spark, sf_dir),
+                    scratch_path(spark, "status-loaded"))
+    return t.status.unionByName(both)
+
+
+def temperature_table(spark, sf_dir):
+    """K1, V7: the daily rows, loaded into a (PUBLISHED_CATEGORY, YEAR) table and read back."""
+    path = scratch_path(spark, "temperature-table")
+    load_temperature(spark, daily_lines(spark, sf_dir), path).release()
+    back = spark.read.parquet(path)
+    return nan_as_flag(back.select(*TEMPERATURE.names, "PUBLISHED_CATEGORY"), ["MAX_TEMP", "MIN_TEMP", "MEAN_TEMP"])
+
+
+def _text_directory(spark, sf_dir):
+    """The barometer archive as text files on disk, a folder per virtual file."""
+    path = scratch_path(spark, "archive-text")
+    lines = pressure_archive_lines(spark, sf_dir)
+    lines.withColumnRenamed("file_name", "file").write.partitionBy("file").text(path)
+    return read_lines(spark, path, unit="folder")
+
+
+def text_directory_load(spark, sf_dir):
+    """Text files scanned, loaded into the partitioned table, read back."""
+    path = scratch_path(spark, "text-table")
+    load_pressure(spark, _text_directory(spark, sf_dir), path).release()
+    return nan_as_flag(spark.read.parquet(path).select(*PRESSURE_CANONICAL), OBS)
+
+
+def quarantine_two_runs(spark, sf_dir):
+    """Two loads into one quarantine; every bad line of both is read back."""
+    path = scratch_path(spark, "quarantine-runs")
+    lines = _text_directory(spark, sf_dir)
+    for run in ("1", "2"):
+        load_pressure(spark, lines, None, path, load_id=run).release()
+    back = spark.read.options(header="true").csv(path)
+    return back.groupBy("file_name", "error_class").agg(F.count("line").alias("n_lines"),
+                                                        F.count_distinct("LOAD_ID").alias("n_loads"))
+
+
+def sql_days(spark, sf_dir):
+    """The converted rows as a view, queried as SQL text."""
+    convert_round(spark, sf_dir).createOrReplaceTempView("converted_readings")
+    return spark.sql("SELECT DISTINCT SPLIT_RANGE, YEAR, MONTH, DAY FROM converted_readings")
 
 
 QUERIES = {
@@ -427,6 +507,10 @@ QUERIES = {
     "pressure_load": pressure_load,
     "temperature_load": temperature_load,
     "load_status": load_status,
+    "temperature_table": temperature_table,
+    "text_directory_load": text_directory_load,
+    "quarantine_two_runs": quarantine_two_runs,
+    "sql_days": sql_days,
 }
 
-__all__ = ["QUERIES", "orders_lines", "lineitem_lines", "pressure_archive_lines", "table", "nan_as_flag"]
+__all__ = ["QUERIES", "orders_lines", "lineitem_lines", "daily_lines", "pressure_archive_lines", "table", "nan_as_flag"]

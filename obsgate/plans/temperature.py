@@ -16,14 +16,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from obsgate.operators.parse import ERROR_CLASS, parse_lines
 from obsgate.operators.route import acceptable, route_temperature
 from obsgate.operators.transform import categorize_publisher, dedupe, fill_nan
-from obsgate.operators.validate import (
-    accepted_rows,
-    coverage_by_file,
-    multi_record_days,
-    schema_matches,
+from obsgate.operators.validate import accepted_rows, coverage_by_file
+from obsgate.plans.common import (
+    FILE_KEY,
+    LoadResult,
+    as_lines,
+    day_counts,
+    file_counts,
+    matches_target,
+    new_rows,
+    staged_verdicts,
+    staging,
+    status_frame,
+    touched,
 )
-from obsgate.plans.common import FILE_KEY, LoadResult, as_lines, load_counts, status_frame
-from obsgate.sinks.parquet import stage, write_quarantine, write_table
+from obsgate.sinks.parquet import new_load_id, stage, write_quarantine, write_table
 from obsgate.sources.registry import TEMPERATURE, TEMPERATURE_CANONICAL
 from obsgate.sources.text import with_file_path, with_provenance
 
@@ -43,7 +50,9 @@ def parse_temperature(lines: DataFrame, *, policy: str = "null_row") -> DataFram
 
 def temperature_files(parsed: DataFrame) -> DataFrame:
     """Per-file verdicts; every parsed row's YEAR counts (bad rows too)."""
-    return coverage_by_file(parsed, FILE_KEY, name_col="file_name", bad=F.col(ERROR_CLASS).isNotNull())
+    corrupt, ok = F.col(ERROR_CLASS).isNotNull(), acceptable(TEMPERATURE.mandatory)
+    extra = [F.count_if(ok).alias("n_ok"), F.count_if(corrupt & ~ok).alias("n_refused")]
+    return coverage_by_file(parsed, FILE_KEY, name_col="file_name", bad=corrupt, extra=extra)
 
 
 def process_temperature(accepted: DataFrame, *, legacy_mandatory_null: bool = False):
@@ -63,25 +72,37 @@ def load_temperature(
     legacy_mandatory_null: bool = False,
     mode: str = "append",
     quarantine_format: str = "csv",
+    load_id: str | None = None,
+    existing: DataFrame | None = None,
 ) -> LoadResult:
-    staged: list[str] = []
-    parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed", staged)
-    files = temperature_files(parsed)
-    accepted = accepted_rows(parsed, files, FILE_KEY)
-    kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
-    loaded = stage(dedupe(kept), "temperature-loaded", staged)
+    """Load ``source``. ``existing``: rows stored before; they are not loaded again and count for the day gate."""
+    load_id = load_id or new_load_id()
+    with staging(spark) as staged:
+        parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed", staged)
+        files = staged_verdicts(spark, source, temperature_files(parsed), "temperature-files", staged)
+        accepted = accepted_rows(parsed, files, FILE_KEY)
+        kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
+        loaded = stage(new_rows(dedupe(kept), existing), "temperature-loaded", staged)
 
-    counts, multi = load_counts(files, kept, bad, loaded, multi_record_days(loaded))
-    gates = {
-        "multi_record_days": multi,
-        "schema_ok": schema_matches(TEMPERATURE.schema(), loaded.drop("PUBLISHED_CATEGORY")),
-    }
-    gates["loaded"] = (
-        counts["rows_loaded"] > 0 and not gates["multi_record_days"] and gates["schema_ok"]
-    )
-    if quarantine_path is not None and counts["rows_quarantined"] > 0:
-        write_quarantine(bad, quarantine_path, fmt=quarantine_format)
-    if output is not None and gates["loaded"]:
-        write_table(loaded, output, PARTITION_COLS, mode)
-    status = status_frame(spark, "temperature", counts, gates)
-    return LoadResult("temperature", loaded, bad, files, status, gates, counts, staged)
+        ok = F.col("reason").isNull()
+        counts = file_counts(files, n_ok=F.when(ok, F.col("n_ok")), n_all=F.when(ok, F.col("n_rows")),
+                             n_refused=F.when(ok, F.col("n_refused")))
+        n_ok, n_all, n_refused = (counts.pop(c) for c in ("n_ok", "n_all", "n_refused"))
+        if not legacy_mandatory_null:
+            kept_rows, refused = n_ok, n_all - n_ok
+        else:  # the original rule: what is neither kept nor quarantined is dropped, and counted here
+            kept_rows, refused = (n_ok if n_refused else n_all), n_refused
+        rows, multi = day_counts(loaded)
+        if existing is not None:
+            multi = multi or day_counts(touched(existing, loaded).select(*loaded.columns).unionByName(loaded))[1]
+        gates = {"multi_record_days": multi, "schema_ok": matches_target(spark, loaded, output)}
+        gates["gates_passed"] = rows > 0 and not multi and gates["schema_ok"] is not False
+        gates["loaded"] = output is not None and gates["gates_passed"]
+        counts |= {"rows_kept": kept_rows, "rows_quarantined": refused, "rows_dropped": n_all - kept_rows - refused,
+                   "rows_staged": rows, "rows_deduped": kept_rows - rows, "rows_loaded": rows if gates["loaded"] else 0}
+        if quarantine_path is not None and refused > 0:
+            write_quarantine(bad, quarantine_path, load_id, fmt=quarantine_format)
+        if gates["loaded"]:
+            write_table(loaded, output, PARTITION_COLS, mode, load_id)
+        status = status_frame(spark, "temperature", counts, gates)
+        return LoadResult("temperature", loaded, bad, files, status, gates, counts, staged, load_id)

@@ -8,57 +8,66 @@ task.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-MODES = ("append", "overwrite", "overwrite_partitions")
+MODES = ("append", "overwrite", "replace_load")
+LOAD_ID = "LOAD_ID"
 
 
-def _writer(df: DataFrame, partition_cols: Sequence[str], mode: str):
+def new_load_id() -> str:
+    return uuid.uuid4().hex
+
+
+def _target(path: str, load_id: str) -> str:
+    return f"{path.rstrip('/')}/{LOAD_ID}={load_id}"
+
+
+def write_table(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
+                load_id: str | None = None) -> None:
+    """Hive-style partitioned Parquet table (``append`` as the original loader).
+
+    ``replace_load`` writes the rows under their own ``LOAD_ID=<load_id>`` and
+    replaces that folder only: running a load again gives the same table, and
+    no other load's rows are touched. A table holds either kind, not both.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if mode == "replace_load":
+        if not load_id:
+            raise ValueError("replace_load needs the id of the load it replaces")
+        path = _target(path, load_id)
     out = df.hint("rebalance", *partition_cols) if partition_cols else df
-    w = out.write
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    if mode == "overwrite_partitions":
-        # Replace only the partitions present in this batch: re-running a load
-        # is idempotent and other partitions are untouched.
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.mode(mode)
-    return w
-
-
-def write_table(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append") -> None:
-    """Hive-style partitioned Parquet table (``append`` as the original loader)."""
-    _writer(df, partition_cols, mode).parquet(path)
+    w = out.write.partitionBy(*partition_cols) if partition_cols else out.write
+    w.mode("append" if mode == "append" else "overwrite").parquet(path)
 
 
-def write_quarantine(bad: DataFrame, path: str, *, fmt: str = "csv",
-                     mode: str = "overwrite_partitions") -> None:
-    """Quarantine table partitioned by source file.
+def write_quarantine(bad: DataFrame, path: str, load_id: str, *, fmt: str = "csv") -> None:
+    """Quarantine rows of one load, by source file, under ``LOAD_ID=<load_id>``.
 
-    Partitioning by file with dynamic overwrite means one file's bad rows
-    never overwrite another file's (the original kept only the last file's).
+    Neither another load nor another folder's file of the same name (rows
+    carry ``file_path``) is overwritten; the same load run again replaces its own rows.
     """
-    w = _writer(bad, ["file_name"], mode)
+    w = bad.hint("rebalance", "file_name").write.partitionBy("file_name").mode("overwrite")
     if fmt == "csv":
         # Raw lines keep their blanks and tabs (the CSV writer trims by default).
         w.options(header="true", ignoreLeadingWhiteSpace="false",
-                  ignoreTrailingWhiteSpace="false").csv(path)
+                  ignoreTrailingWhiteSpace="false").csv(_target(path, load_id))
     else:
-        w.format(fmt).save(path)
+        w.format(fmt).save(_target(path, load_id))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset *and* the master is local
-    (tests) do we create one under the local temp directory.
+    (tests) do we create one under the local temp directory; it goes when
+    the driver process ends.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +76,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     d = tempfile.mkdtemp(prefix="obsgate-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -92,6 +102,15 @@ def stage(df: DataFrame, name: str = "stage", paths: list[str] | None = None) ->
     return spark.read.parquet(path)
 
 
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of the Parquet table at ``path``, None if there is none yet."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath) or not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(jpath)):
+        return None
+    return spark.read.parquet(path).schema
+
+
 def remove_paths(spark: SparkSession, paths: list[str]) -> None:
     """Recursively delete staged folders (Hadoop FileSystem, any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -106,4 +125,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["write_table", "write_quarantine", "shared_dir", "scratch_path", "stage", "remove_paths", "local_path"]
+__all__ = ["LOAD_ID", "new_load_id", "write_table", "write_quarantine", "shared_dir", "scratch_path", "stage", "remove_paths", "local_path"]

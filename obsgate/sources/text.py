@@ -16,18 +16,27 @@ from obsgate.functions.tokens import is_manual_station
 from obsgate.sources.registry import AUTOMATIC_STATION_PREFIX
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bool = False,
+               unit: str = "file") -> DataFrame:
     """``(value, file_name, file_path)`` for every line of every file under ``paths``.
 
     Subdirectories are skipped unless ``recursive`` (the original loader
-    skipped them too).
+    skipped them too). ``unit="folder"``: an observation file is a folder of
+    part files (as Spark writes one); its name is the folder's, or what
+    follows ``=`` in a ``key=name`` folder.
     """
+    if unit not in ("file", "folder"):
+        raise ValueError("unit must be 'file' or 'folder'")
     reader = spark.read.format("text")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if isinstance(paths, str):
         paths = [paths]
     df = reader.load(list(paths))
+    if unit == "folder":
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+        return df.select("value", _decoded(F.regexp_extract(folder, "([^/=]+)$", 1)).alias("file_name"),
+                         folder.alias("file_path"))
     return df.select(
         "value",
         file_name_column().alias("file_name"),
@@ -42,22 +51,30 @@ def file_name_column() -> Column:
     parsing need the real name. ``url_decode`` is form decoding, so a literal
     '+' is protected first. The (encoded) path stays the file's identity.
     """
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return _decoded(F.col("_metadata.file_name"))
 
 
-def with_file_path(df: DataFrame) -> DataFrame:
-    """Lines without a ``file_path`` (e.g. rendered from a table) use the name as path."""
-    return df if "file_path" in df.columns else df.withColumn("file_path", F.col("file_name"))
+def _decoded(name: Column) -> Column:
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the
-    cluster's parallelism) when it has fewer, e.g. a table stored as one row
-    group. Large inputs already scan in many splits and pass through
-    unchanged, so at scale this adds no shuffle.
+def files_without_lines(spark: SparkSession, paths: str | Sequence[str], files: DataFrame) -> DataFrame:
+    """``(file_path, file_name)`` of the input files that have no row in ``files``:
+    zero-length ones, which scans skip, and those with blank lines only.
+
+    The listing is the one the driver makes for the scan anyway (paths, no contents).
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    listed = spark.read.format("text").load([paths] if isinstance(paths, str) else list(paths)).inputFiles()
+    every = spark.createDataFrame([(p,) for p in listed], "file_path string")
+    name = _decoded(F.regexp_extract("file_path", "([^/]+)$", 1))
+    plain = F.regexp_replace("file_path", "^([A-Za-z0-9+.-]+):/+", "$1:/")  # file:///x and file:/x are one file
+    without = every.withColumn("__path", plain).join(files.select(plain.alias("__path")), "__path", "left_anti")
+    return without.select("file_path", name.alias("file_name"))
+
+
+def with_file_path(df: DataFrame) -> DataFrame:
+    """Lines without a ``file_path`` (e.g. rendered from a table) use the name as path."""
+    return df if "file_path" in df.columns else df.withColumn("file_path", F.col("file_name"))
 
 
 def with_provenance(df: DataFrame, file_col: str = "file_name", out: str = "ISMANUAL",

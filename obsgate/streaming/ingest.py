@@ -8,7 +8,14 @@ coverage gate still sees complete files.
 Exactly-once output: every micro-batch writes its tables into its own
 ``batch_id=<n>`` partition with overwrite, so a batch replayed after a
 failure replaces exactly what its first attempt wrote and nothing else.
-Readers of the output see ``batch_id`` as an extra partition column.
+Readers of the output see ``batch_id`` as an extra partition column. The
+checkpoint is the caller's to name: a fresh one would start at batch 0 again.
+
+Rows that an earlier batch stored are not stored again, and the day gate sees
+the stored rows of the years a batch brings: files give the same table in
+however many batches they arrive. A batch whose rows a gate refuses stops the
+stream before its checkpoint, so its files are not lost; mend or remove them and
+start again. Files rejected one by one are told in the status and don't stop it.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from obsgate.plans.pressure import PARTITION_COLS as PRESSURE_PARTITIONS, load_pressure
 from obsgate.plans.temperature import PARTITION_COLS as TEMPERATURE_PARTITIONS, load_temperature
-from obsgate.sinks.parquet import scratch_path
+from obsgate.sinks.parquet import table_schema
 from obsgate.sources.text import file_name_column
 
 LOADS = {
@@ -30,7 +37,7 @@ LOADS = {
 def line_stream(spark: SparkSession, source: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``(value, file_name, file_path)`` of every line of every new file under ``source``."""
     reader = spark.readStream.format("text")
-    if max_files_per_trigger:
+    if max_files_per_trigger:  # paces the batches; the table doesn't depend on it
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(source).select(
         "value", file_name_column().alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
@@ -41,18 +48,26 @@ def _batch_writer(kind: str, output: str, quarantine: str | None, status: str |
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        res = load(spark, batch, **options)
-        target = f"{output.rstrip('/')}/batch_id={batch_id}"
-        if res.gates.get("loaded"):
-            (res.loaded.hint("rebalance", *partitions).write.mode("overwrite")
-             .partitionBy(*partitions).parquet(target))
-        if quarantine is not None and res.counts.get("rows_quarantined"):
-            (res.quarantine.write.mode("overwrite").partitionBy("file_name")
-             .parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}"))
-        if status is not None:
-            (res.status.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .parquet(f"{status.rstrip('/')}/batch_id={batch_id}"))
-        res.release()
+        stored = None
+        if table_schema(spark, output) is not None:
+            stored = spark.read.parquet(output).filter(F.col("batch_id") != batch_id)
+        res = load(spark, batch, load_id=str(batch_id), existing=stored, **options)
+        try:
+            target = f"{output.rstrip('/')}/batch_id={batch_id}"
+            if quarantine is not None and res.counts["rows_quarantined"]:
+                (res.quarantine.hint("rebalance", "file_name").write.mode("overwrite").partitionBy("file_name")
+                 .parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}"))
+            if status is not None:
+                done = res.status.withColumn("loaded", F.col("gates_passed") & (F.col("rows_staged") > 0))
+                (done.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                 .parquet(f"{status.rstrip('/')}/batch_id={batch_id}"))
+            if res.counts["rows_staged"] and not res.gates["gates_passed"]:
+                raise ValueError(f"batch {batch_id} is refused: {res.gates}")
+            if res.counts["rows_staged"]:
+                (res.loaded.hint("rebalance", *partitions).write.mode("overwrite")
+                 .partitionBy(*partitions).parquet(target))
+        finally:
+            res.release()
 
     return write_batch
 
@@ -63,9 +78,9 @@ def start_ingest(
     source: str,
     output: str,
     *,
+    checkpoint: str,
     quarantine: str | None = None,
     status: str | None = None,
-    checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
@@ -75,15 +90,17 @@ def start_ingest(
 
     ``available_now`` processes everything present and stops (scheduled
     incremental runs); otherwise ``processing_time`` (e.g. ``"1 minute"``)
-    keeps the stream running. The checkpoint defaults to a fresh folder under
-    the shared ``spark.checkpoint.dir``; pass a fixed one to resume.
+    keeps the stream running. ``legacy_mandatory_null`` is refused: its rule
+    looks at a whole batch, which here is whatever a trigger picks up.
     """
     if kind not in LOADS:
         raise ValueError(f"kind must be one of {sorted(LOADS)}")
+    if options.get("legacy_mandatory_null"):
+        raise ValueError("legacy_mandatory_null depends on the batch; use the batch load")
     lines = line_stream(spark, source, max_files_per_trigger=max_files_per_trigger)
     writer = (
         lines.writeStream.foreachBatch(_batch_writer(kind, output, quarantine, status, options))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"{kind}-stream-checkpoint"))
+        .option("checkpointLocation", checkpoint)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -1,11 +1,11 @@
-"""Sample observation files (tab-separated, header-less), re-typed.
+"""Sample observation files (tab-separated, header-less), with invented readings.
 
-``UNIT`` mirrors the unit-test sample directory, ``MOCK_PRESSURE`` and
-``MOCK_TEMPERATURE`` the end-to-end sample directories. Lines are joined
-with "\n" and files have no trailing newline, as the originals.
+Readings come from simple rules; only the file names are those of the registry.
+``UNIT`` holds one file per layout, ``MOCK_PRESSURE`` and ``MOCK_TEMPERATURE``
+are whole directories. Files have no trailing newline.
 """
 
-T = "\t"
+from decimal import ROUND_HALF_UP, Decimal
 
 
 def rows(*lines: str) -> str:
@@ -13,80 +13,50 @@ def rows(*lines: str) -> str:
 
 
 def tsv(*tokens) -> str:
-    return T.join(str(t) for t in tokens)
-
-
-BARO_1938_1960 = rows(
-    tsv(1938, 1, 1, "1011.1", "1013.9", "1017.2"),
-    tsv(1939, 1, 2, "1021.5", "1022.4", "1024.8"),
-    tsv(1940, 1, 3, "1021.9", "1017.1", "1012.2"),
-    tsv(1941, 1, 4, "1017.0", "1017.0", "1015.0"),
-    tsv(1942, 1, 5, "1002.0", "996.0", "993.0"),
-    tsv(1943, 8, 8, "994.6", "995.1", "995.9"),
-    tsv(1944, 1, 7, "994.6", "995.1", "995.9"),
-    tsv(1945, 2, 4, "994.6", "995.1", "995.9"),
-    tsv(1946, 1, 3, "984.6", "995.1", "995.9"),
-    tsv(1947, 1, 2, "994.6", "995.1", "995.9"),
-    tsv(1948, 1, 1, "994.6", "995.1", "995.9"),
-    tsv(1949, 12, 6, "984.6", "995.1", "965.9"),
-    tsv(1950, 11, 6, "994.6", "995.1", "998.9"),
-    tsv(1951, 10, 6, "994.6", "997.1", "995.4"),
-    tsv(1952, 9, 6, "974.6", "988.1", "975.3"),
-    tsv(1953, 8, 6, "994.6", "995.1", "995.2"),
-    tsv(1954, 7, 6, "924.6", "995.1", "985.1"),
-    tsv(1955, 6, 6, "1004.6", "997.1", "995.5"),
-    tsv(1956, 5, 6, "994.6", "995.1", "995.0"),
-    tsv(1957, 4, 6, "994.6", "978.1", "995.9"),
-    tsv(1958, 3, 6, "998.6", "995.1", "995.6"),
-    tsv(1959, 2, 6, "994.6", "1005.1", "965.9"),
-    tsv(1960, 1, 6, "994.6", "996.1", "995.9"),
-)
-
-BARO_1859_1861 = rows(
-    tsv(1859, 1, 1, "257.3", "13.0", "256.0", "257.1", "18.0", "256.5", "256.4", "17.9", "255.9"),
-    tsv(1859, 1, 1, "255.0", "13.0", "257.5", "277.1", "18.0", "266.5", "286.4", "17.9", "257.1"),
-    tsv(1859, 1, 1, "257.3", "13.0", "254.0", "257.1", "18.0", "276.5", "256.4", "17.9", "251.5"),
-    tsv(1859, 1, 1, "257.3", "13.0", "257.8", "287.1", "18.0", "256.5", "258.7", "17.9", "258.2"),
-)
-
-BARO_1756_1858 = rows(
-    tsv(1756, 1, 1, "25.15", "NaN", "NaN", "NaN", "NaN", "NaN"),
-    tsv(1756, 1, 3, "25.38", "NaN", "NaN", "NaN", "25.40", "NaN"),
-    tsv(1756, 1, 5, "25.27", "NaN", "NaN", "NaN", "25.26", "NaN"),
-    tsv(1756, 1, 10, "25.19", "NaN", "NaN", "NaN", "25.42", "NaN"),
-    tsv(1756, 1, 11, "25.05", "NaN", "NaN", "NaN", "NaN", "NaN"),
-    tsv(1756, 1, 12, "25.15", "NaN", "NaN", "NaN", "25.28", "NaN"),
-    tsv(1756, 1, 13, "25.16", "NaN", "NaN", "NaN", "25.08", "NaN"),
-)
-
-BARO_1862_1937 = rows(
-    tsv(1862, 1, 1, "749.4", "752.9", "756.4"),
-    tsv(1862, 1, 2, "757.4", "757.7", "757.7"),
-    tsv(1862, 1, 3, "752.7", "747.5", "741.2"),
-    tsv(1862, 1, 4, "735.6", "733.6", "731.0"),
-    tsv(1862, 1, 5, "733.5", "733.0", "735.2"),
-    tsv(1862, 1, 6, "743.4", "748.2", "752.2"),
-    tsv(1862, 1, 7, "743.5", "739.7", "741.4"),
-    tsv(1862, 1, 8, "YYY", "739.7", ""),
-)
+    return "\t".join(str(t) for t in tokens)
+
+
+def hpa(reading: float, factor: float) -> float:
+    """A reading in hPa to one decimal, half up."""
+    return float(Decimal(repr(reading * factor)).quantize(Decimal("0.1"), ROUND_HALF_UP))
+
+
+def tenths(first: int, *steps: int) -> list[float]:
+    """Readings ``first``, ``first + step``, ... given in tenths."""
+    out = [first]
+    for s in steps:
+        out.append(out[-1] + s)
+    return [x / 10 for x in out]
+
+
+# One row per year; 1950 is out of the plausible range.
+YEARS_1938 = {y: tenths(9600 + 31 * (y - 1938), 17, -9) for y in range(1938, 1961)} | {1950: tenths(9201, 4, 4)}
+BARO_1938_1960 = rows(*[tsv(y, y % 12 + 1, y % 28 + 1, *v) for y, v in YEARS_1938.items()])
+
+# Four records of one day; the reduced readings are the third of each triple.
+REDUCED_1859 = [tenths(2500 + 23 * i, 15, -8) for i in range(4)]
+BARO_1859_1861 = rows(*[tsv(1859, 6, 2, *[t for k, x in enumerate(v) for t in (x + 1, 11 + k, x)]) for v in REDUCED_1859])
+
+# First readings on seven days, third ones on five of them, second ones never.
+FIRST_1756 = [25.02 + 0.07 * i for i in range(7)]
+THIRD_1756 = [None, 25.31, 25.22, 25.47, None, 25.06, 25.6]
+BARO_1756_1858 = rows(*[
+    tsv(1756, 3, i + 1, f"{a:.2f}", "NaN", "NaN", "NaN", "NaN" if c is None else c, "NaN")
+    for i, (a, c) in enumerate(zip(FIRST_1756, THIRD_1756))])
+
+GOOD_1862 = [tenths(7351 + 29 * i, 12, 13) for i in range(7)]
+BAD_1862 = tsv(1862, 4, 8, "QQQ", "740.2", "")
+BARO_1862_1937 = rows(*[tsv(1862, 4, i + 1, *v) for i, v in enumerate(GOOD_1862)], BAD_1862)
 
 # Space separated: every line is one token.
-BARO_A_2013_2017_SPACES = rows(
-    "2013  1  1 1013.3 1013.2 1012.7",
-    "2013  1  2 1011.2 1010.4 1009.0",
-    "2014  1  3 1005.7 1005.0 1000.9",
-    "2015 12  5 1004.5 1000.6  995.5",
-    "2016 12  6  989.3  991.7  995.8",
-    "2017 12  7  998.8 1000.1 1002.9",
-)
-
-TEMP_A_2013_2017_UNIT = rows(
-    tsv(2013, 1, 1, "5.1", "4.1", "3.9", "4.4", "3.9", "4.1"),
-    tsv(2014, 1, 2, "5.1", "4.1", "2.9", "5.4", "3.9", "4.2"),
-    tsv(2015, 1, 3, "5.1", "4.1", "2.9", "5.5", "2.9", "4.1"),
-    tsv(2016, 1, 4, "5.1", "4.1", "2.9", "4.5", "1.5", "2.9"),
-    tsv(2017, 1, 4, "5.1", "4.1", "2.9", "4.5", "1.5", "2.9"),
-)
+BARO_A_2013_2017_SPACES = rows(*[f"{2013 + i % 5}  2  {i + 1} 1001.{i} 1002.{i} 1003.{i}" for i in range(6)])
+
+
+def daily(y: int, d: int, base: int) -> str:
+    return tsv(y, 5, d, *tenths(base, -8, 3, 9, -6, 2))
+
+
+TEMP_A_2013_2017_UNIT = rows(*[daily(2013 + i, i + 1, 70 + 5 * i) for i in range(5)])
 
 UNIT = {
     "stockholm_barometer_1938_1960.txt": BARO_1938_1960,
@@ -97,62 +67,34 @@ UNIT = {
     "stockholmA_daily_temp_obs_2013_2017_t1t2t3txtntm.txt": TEMP_A_2013_2017_UNIT,
 }
 
+# Year tokens that fail: letters; two tokens run together (the rest then lacks one); trailing blanks.
+BAD_YEARS = {"year": "TYPE", "2013 7": "ARITY_TYPE", "20z47": "ARITY_TYPE", "20157": "ARITY_TYPE", "2016    ": "ARITY_TYPE"}
+
 MOCK_PRESSURE = {
-    "stockholmA_barometer_2013_2017.txt": rows(
-        tsv("xxxx", 1, 1, "1013.3", "1013.2", "1012.7"),
-        tsv("2014 1", 1, "1013.3", "1013.2", "1012.7"),
-        tsv("201x1", 1, "1013.3", "1013.2", "1012.7"),
-        tsv("20161", 1, "1013.3", "1013.2", "1012.7"),
-        tsv("2017    ", 1, "1013.3", "1013.2", "1012.7"),
-    ),
+    "stockholmA_barometer_2013_2017.txt": rows(*[
+        tsv(t, *([7, 2] if c == "TYPE" else [2]), "1004.5", "1006.1", "1003.8") for t, c in BAD_YEARS.items()]),
     "stockholm_barometer_1756_1858.txt": BARO_1756_1858,
     "stockholm_barometer_1859_1861.txt": BARO_1859_1861,
     "stockholm_barometer_1862_1937.txt": BARO_1862_1937,
-    "stockholm_barometer_1938_1960.txt": rows(
-        tsv(1938, 1, 1, "1011.1", "1013.9", "1017.2"),
-        tsv(1938, 1, 2, "1021.5", "1022.4", "1024.8"),
-        tsv(1938, 1, 3, "1021.9", "1017.1", "1012.2"),
-        tsv(1938, 1, 4, "1017.0", "1017.0", "1015.0"),
-        tsv(1938, 1, 5, "1002.0", "996.0", "993.0"),
-        tsv(1938, 1, 6, "994.6", "995.1", "995.9"),
-    ),
-    "stockholm_barometer_1961_2012.txt": rows(
-        tsv(1961, 1, 1, "1013.3", "1013.2", "1012.7"),
-        tsv(1961, 1, 2, "1011.2", "1010.4", "1009.0"),
-        tsv(1961, 1, 3, "1005.7", "1005.0", "1000.9"),
-        tsv(1961, 1, 4, "999.3", "1001.3", "1000.3"),
-        tsv(1961, 1, 5, "993.5", "1001.9", "1004.4"),
-    ),
+    "stockholm_barometer_1938_1960.txt": rows(*[tsv(1938, 9, i + 1, *tenths(9980 + 7 * i, 5, 5)) for i in range(6)]),
+    "stockholm_barometer_1961_2012.txt": rows(*[tsv(1961, 9, i + 1, *tenths(10020 + 9 * i, 3, 6)) for i in range(5)]),
 }
 
+BAD_TEMPERATURE = tsv(2014, 5, 9, "6", "5.2", "QQQ", "6.1", "5.5", "QQQ")
+
 MOCK_TEMPERATURE = {
+    # All five years, one day each, and one line with two bad tokens on a day of its own year.
     "stockholmA_daily_temp_obs_2013_2017_t1t2t3txtntm.txt": rows(
-        tsv(2013, 1, 1, "5.1", "4.1", "3.9", "4.4", "3.9", "4.1"),
-        tsv(2017, 1, 2, "5.1", "4.1", "2.9", "5.4", "3.9", "4.2"),
-        tsv(2016, 1, 3, "5.1", "4.1", "2.9", "5.5", "2.9", "4.1"),
-        tsv(2014, 1, 4, "5.1", "4.1", "2.9", "4.5", "1.5", "2.9"),
-        tsv(2015, 1, 4, "5.1", "4.1", "2.9", "4.5", "1.5", "2.9"),
-        tsv(2015, 1, 4, "5", "4.1", "XXX", "4.5", "1.5", "XXX"),
-    ),
+        *[daily(y, 9 if y == 2014 else y - 2010, 64 + i) for i, y in enumerate((2015, 2013, 2017, 2016, 2014))],
+        BAD_TEMPERATURE),
+    # Six of nine tokens: ten rows, six different ones, over two of the name's years; and a blank one.
     "stockholm_daily_temp_obs_1756_1858_t1t2t3_tempCopy.txt": rows(
-        tsv(1756, 1, 1, "-8.00", "-9.00", "NaN"),
-        tsv(1756, 1, 1, "-8.00", "-9.00", "NaN"),
-        tsv(1756, 1, 1, "-8.00", "-9.00", "NaN"),
-        tsv(1756, 1, 1, "-9.00", "-9.00", "NaN"),
-        tsv(1756, 1, 1, "-9.00", "-9.00", "NaN"),
-        tsv(1756, 1, 1, "-9.00", "-9.00", "NaN"),
-        tsv(1858, 1, 1, "15.10", "18.00", "17.50"),
-        tsv(1858, 1, 1, "16.20", "17.00", "14.00"),
-        tsv(1858, 1, 1, "14.00", "20.10", "15.50"),
-        tsv(1858, 9, 8, "15.10", "17.90", "14.00"),
-        tsv("", "", "", "", "15.20", "15.2", "15.88"),
-    ),
-    "stockholm_daily_temp_obs_2013_1858_t1t2t3_tempCopy.txt": rows(
-        tsv(2013, 1, 1, "5.1", "4.1", "2.9", "5.4", "2.9", "4.1"),
-        tsv(2013, 1, 2, "5.1", "4.1", "2.9", "5.4", "2.9", "4.1"),
-        tsv(2013, 1, 3, "5.1", "4.1", "2.9", "5.4", "2.9", "4.1"),
-        tsv(2013, 1, 4, "5.1", "4.1", "2.9", "4.5", "1.5", "2.8"),
-    ),
+        *[tsv(1756, 2, 3, *tenths(-61, -7), "NaN")] * 3,
+        *[tsv(1756, 2, 3, *tenths(-70, 2), "NaN")] * 3,
+        *[tsv(1858, 2, 3, *tenths(131 + 10 * i, 22, -5)) for i in range(3)],
+        tsv(1858, 10, 4, *tenths(120, 31, -20)),
+        tsv("", "", "", "", "13.1", "12.2", "13.3")),
+    "stockholm_daily_temp_obs_2013_1858_t1t2t3_tempCopy.txt": rows(*[daily(2013, i + 1, 50 + i) for i in range(4)]),
 }
 
 

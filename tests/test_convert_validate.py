@@ -50,8 +50,7 @@ def _obs(df):
 def test_convert_1859(spark, lines_of):
     conv = convert_range(_good(lines_of, "f", S.BARO_1859_1861, PRESSURE_A), "1859_1861")
     assert conv.columns == ["YEAR", "MONTH", "DAY", *OBS, "SPLIT_RANGE"]
-    assert _obs(conv) == sorted([
-        (866.9, 868.6, 866.6), (872.0, 902.5, 870.6), (860.1, 936.3, 851.7), (873.0, 868.6, 874.4)])
+    assert _obs(conv) == sorted(tuple(S.hpa(x, 25.4 * 1.333224 * 0.1) for x in v) for v in S.REDUCED_1859)
     assert dict(conv.dtypes)["OBSERVATION1"] == "double"
 
 
@@ -59,21 +58,21 @@ def test_convert_1756_nan_and_option(spark, lines_of):
     good = _good(lines_of, "f", S.BARO_1756_1858, PRESSURE_B)
     conv = convert_range(good, "1756_1858").orderBy("DAY")
     rows = conv.collect()
-    assert [r["OBSERVATION1"] for r in rows] == [851.7, 859.5, 855.7, 853.0, 848.3, 851.7, 852.0]
-    assert [r["OBSERVATION3"] for r in rows] == [None, 860.1, 855.4, 860.8, None, 856.1, 849.3]
+    first = [round(x, 2) for x in S.FIRST_1756]
+    assert [r["OBSERVATION1"] for r in rows] == [S.hpa(x, 25.4 * 1.333224) for x in first]
+    assert [r["OBSERVATION3"] for r in rows] == [x and S.hpa(x, 25.4 * 1.333224) for x in S.THIRD_1756]
     assert all(r["OBSERVATION2"] is None for r in rows)  # NaN -> NULL by the decimal cast
     filled = fill_missing(conv).orderBy("DAY").collect()
     assert math.isnan(filled[0]["OBSERVATION2"]) and math.isnan(filled[0]["OBSERVATION3"])
     alt = convert_range(good, "1756_1858", swedish_inch_mm=29.69).orderBy("DAY").collect()
-    assert [r["OBSERVATION1"] for r in alt[:2]] == [995.5, 1004.6]
+    assert [r["OBSERVATION1"] for r in alt] == [S.hpa(x, 29.69 * 1.333224) for x in first]
 
 
 def test_convert_1862_and_passthrough(spark, lines_of):
     conv = convert_range(_good(lines_of, "f", S.BARO_1862_1937, PRESSURE_C), "1862_1937")
-    assert (999.1, 1003.8, 1008.5) in _obs(conv)
-    assert len(_obs(conv)) == 7
+    assert _obs(conv) == sorted(tuple(S.hpa(x, 1.333224) for x in v) for v in S.GOOD_1862)
     same = convert_range(_good(lines_of, "f", S.BARO_1938_1960, PRESSURE_C), "1938_1960")
-    assert (1011.1, 1013.9, 1017.2) in _obs(same)
+    assert _obs(same) == sorted(tuple(v) for v in S.YEARS_1938.values())
 
 
 def test_roundtrip_1859_is_empty(spark, lines_of):
@@ -110,7 +109,7 @@ def test_duplicates_and_days(spark, lines_of):
     assert {r["n"] for r in duplicate_rows(doubled).collect()} == {2}
     assert dedupe(doubled).count() == 5
     p = parse_lines(lines_of({"b": S.BARO_1859_1861}), PRESSURE_A)
-    assert [tuple(r) for r in multi_record_days(p.distinct()).collect()] == [(1859, 1, 1, 4)]
+    assert [tuple(r) for r in multi_record_days(p.distinct()).collect()] == [(1859, 6, 2, 4)]
     # NULL day keys count as one key.
     nulls = spark.createDataFrame([(None, 1, 1), (None, 1, 1), (2000, 1, 1)], "YEAR int, MONTH int, DAY int")
     assert multi_record_days(nulls).count() == 1
@@ -147,4 +146,4 @@ def test_range_check(spark, lines_of):
     s = range_summary(conv, OBS, MIN_AIR_PRESSURE_HPA, MAX_AIR_PRESSURE_HPA).first()
     assert (s["n_rows"], s["n_in_range"], s["n_out_of_range"], s["all_in_range"]) == (23, 22, 1, False)
     out = range_check(conv, OBS, MIN_AIR_PRESSURE_HPA, MAX_AIR_PRESSURE_HPA).filter("NOT in_range").first()
-    assert out["YEAR"] == 1954
+    assert out["YEAR"] == 1950

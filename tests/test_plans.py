@@ -41,6 +41,14 @@ def test_staged_scan_prunes_and_pushes(spark, lines_of):
     assert "ReadSchema: struct<file_name:string,YEAR:int,_error_class:string>" in p
 
 
+def test_accepted_rows_are_not_shuffled(spark, lines_of):
+    """Staged verdicts have a true size: a broadcast from the first plan on, no Exchange above the rows."""
+    parsed = stage(parse_pressure(lines_of(S.MOCK_PRESSURE)), "plan-parsed")
+    files = stage(pressure_files(parsed), "plan-files")
+    p = plan(accepted_rows(good_rows(parsed), files, "file_path"))
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p and "hashpartitioning" not in p
+
+
 def test_gates_are_aggregates_and_semi_joins(spark, lines_of):
     parsed = parse_pressure(lines_of(S.MOCK_PRESSURE))
     files = pressure_files(parsed)
