@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from obsgate.llm import common as C
 
-FOLDS, MAX_TRAIN = 5, 6_000
+FOLDS, MAX_TRAIN = 5, 5_000
 BUCKET_BITS, DIM, SIZES = 20, 4, (3, 4, 5, 6)
 EPOCHS, RATE, SHRINK, SCALE, MIN_DOCS = 30, 0.4, 0.45, 800.0, 4
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_words long"
@@ -93,22 +93,28 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         return None
-    bags = [bag(t) for t in texts]
-    hashes, offsets = C.word_hashes(bags)
-    flat = [w for b in bags for w in b]
-    _, first, inv = np.unique(hashes, return_index=True, return_inverse=True)
-    grams, word_off = ngram_buckets([flat[i] for i in first])
-    # word counts per document as (document, word, count); buckets in too few documents stay at zero
-    pair, count = np.unique(C.doc_of(offsets) * len(first) + inv, return_counts=True)
-    doc, word = divmod(pair, max(len(first), 1))
-    gram_word = np.repeat(np.arange(len(first)), np.diff(word_off))
-    docs_of_word = np.bincount(word, minlength=len(first))
-    used = np.bincount(grams, docs_of_word[gram_word], 1 << BUCKET_BITS) >= MIN_DOCS
-    keep = used[grams]
-    grams, gram_word = grams[keep], gram_word[keep]
-    per_word = np.maximum(np.diff(word_off), 1)
-    share = count / np.maximum(np.diff(offsets), 1)[doc]
-    buckets, local = np.unique(grams, return_inverse=True)
+    # words of each document with their counts; then the buckets of each word, a chunk of words at a time
+    vocabulary: dict[bytes, int] = {}
+    doc, word, share = [], [], []
+    for i, t in enumerate(texts):
+        u, n = np.unique(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in bag(t)], np.int32), return_counts=True)
+        doc.append(np.full(len(u), i, np.int32))
+        word.append(u)
+        share.append(n / max(n.sum(), 1))
+    doc, word, share = (np.concatenate(x) for x in (doc, word, share))
+    words = list(vocabulary)
+    grams, per_word = [], []
+    for lo in range(0, len(words), 20_000):
+        g, off = ngram_buckets(words[lo : lo + 20_000])
+        grams.append(g.astype(np.int32))
+        per_word.append(np.diff(off))
+    grams, per_word = np.concatenate(grams), np.concatenate(per_word)
+    gram_word = np.repeat(np.arange(len(words), dtype=np.int32), per_word)
+    # buckets in too few documents stay at zero
+    docs_of_word = np.bincount(word, minlength=len(words))
+    keep = (np.bincount(grams, docs_of_word[gram_word], 1 << BUCKET_BITS) >= MIN_DOCS)[grams]
+    buckets, local = np.unique(grams[keep], return_inverse=True)
+    local, gram_word = local.astype(np.int32), gram_word[keep]
     gram_share = 1 / per_word[gram_word]
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.01, (len(buckets), DIM))
@@ -118,19 +124,20 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     target = np.stack([1 - y, y], 1)
 
-    def spread(values: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
-        return np.stack([np.bincount(to, values[:, k], size) for k in range(values.shape[1])], 1)
+    def spread(values: np.ndarray, of: np.ndarray, by: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
+        """Sums of ``values[of] * by`` at ``to``, one dimension at a time."""
+        return np.stack([np.bincount(to, values[of, k] * by, size) for k in range(values.shape[1])], 1)
 
     for step in range(1, EPOCHS + 1):
-        word_vec = spread(emb[local] * gram_share[:, None], gram_word, len(first))
-        doc_vec = SCALE * spread(word_vec[word] * share[:, None], doc, len(y))
+        word_vec = spread(emb, local, gram_share, gram_word, len(words))
+        doc_vec = SCALE * spread(word_vec, word, share, doc, len(y))
         z = doc_vec @ soft + bias
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         g = (p - target) / len(y)
         g_doc = SCALE * g @ soft.T
-        g_word = spread(g_doc[doc] * share[:, None], word, len(first))
-        grads = [spread(g_word[gram_word] * gram_share[:, None], local, len(buckets)), doc_vec.T @ g, g.sum(0)]
+        g_word = spread(g_doc, doc, share, word, len(words))
+        grads = [spread(g_word, gram_word, gram_share, local, len(buckets)), doc_vec.T @ g, g.sum(0)]
         for q, d, a, b in zip(params, grads, m, v):
             a += 0.1 * (d - a)
             b += 0.01 * (d * d - b)
