@@ -6,7 +6,6 @@ exactly what ``bytes.split()`` without arguments yields.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -17,26 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from obsgate.sinks.parquet import remove_paths
+from obsgate.sinks.parquet import remove_paths, shared_dir
 
 # Odd multipliers of the window hashes, derived from one rule (any odd 64-bit values do).
 _M = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 SLICE_CHARS, SLICE_ROWS = 3_000_000, 60_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-        d = tempfile.mkdtemp(prefix="obsgate-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the folder all executors share (``spark.checkpoint.dir``)."""
+    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
