@@ -16,6 +16,8 @@ from functools import lru_cache
 
 import numpy as np
 
+SPACE = "\u0120"  # how the byte-level alphabet writes a space
+_PLAIN = re.compile(r"\S+\Z").match
 _UNSAFE = re.compile(r"\s (?:\s|$)")
 
 
@@ -35,45 +37,65 @@ class PieceEncoder:
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         pre = str(self.tok.pre_tokenizer)
         self.by_piece = pre.startswith("ByteLevel(") and "add_prefix_space=False" in pre and "use_regex=True" in pre and self.tok.normalizer is None and self.tok.post_processor is None
+        if self.by_piece:
+            self.opens = np.zeros(max(self.tok.get_vocab(with_added_tokens=True).values()) + 1, bool)
+            self.opens[[i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t.startswith(SPACE)]] = True
+            self.ends = dict(zip(".,", self._raw([".", ","])))
         self.cache: dict[str, bytes] = {}
         self.cache_size = cache_size
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of ``' ' + piece``. Pieces without white space are encoded in runs and cut where a token
+        begins with a space, which only a piece's first token does."""
+        plain = [p for p in pieces if _PLAIN(p)]
+        other = [p for p in pieces if not _PLAIN(p)]
+        got: dict[str, bytes] = dict(zip(other, self._raw([" " + p for p in other]) if other else ()))
+        runs = [plain[i : i + 100] for i in range(0, len(plain), 100)]
+        for run, e in zip(runs, self.tok.encode_batch_fast([" " + " ".join(r) for r in runs], add_special_tokens=False) if runs else ()):
+            ids = np.array(e.ids, self.dtype)
+            cut = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize
+            if len(cut) != len(run) + 1:
+                raise ValueError("the tokenizer does not start a token at each space")
+            raw = ids.tobytes()
+            got.update((p, raw[lo:hi]) for p, lo, hi in zip(run, cut[:-1].tolist(), cut[1:].tolist()))
+        return [got[p] for p in pieces]
+
     def _learn(self, pieces: set[str]) -> None:
         """Add the ids of ``' ' + piece`` to the cache; a last comma or stop is a token sequence of its own."""
         if len(self.cache) + len(pieces) > self.cache_size:
             self.cache = {}
         cores = {p: p[:-1] for p in pieces if p[-1:] in (".", ",") and p[:-1].isalpha()}
-        plain = list({*(p for p in pieces if p not in cores), *(c for c in cores.values() if c not in self.cache), ".", ","})
-        n = len(plain)
-        got = self._raw([" " + p for p in plain] + [".", ","])
-        self.cache.update(zip(plain, got[:n]))
-        ends = {".": got[n], ",": got[n + 1]}
+        plain = list({*(p for p in pieces if p not in cores), *(c for c in cores.values() if c not in self.cache)})
+        self.cache.update(zip(plain, self._spaced(plain)))
         for p, c in cores.items():
-            self.cache[p] = self.cache[c] + ends[p[-1]]
+            self.cache[p] = self.cache[c] + self.ends[p[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian bytes of ``self.dtype``."""
         out: list[bytes] = [b""] * len(texts)
-        split: list[tuple[int, list[str]]] = []
+        split: list[tuple[int, list[str], list]] = []
         whole: list[int] = []
         for i, t in enumerate(texts):
             if not self.by_piece or t.endswith(" ") or _UNSAFE.search(t) or any(a in t for a in self.added):
                 whole.append(i)
             else:
-                split.append((i, t.split(" ")))
+                first, *rest = t.split(" ")
+                split.append((i, first, rest))
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]) if whole else ()):
             out[i] = ids
-        new = {p for _, ps in split for p in ps[1:] if p not in self.cache}
-        if new:
-            if len(self.cache) + len(new) > self.cache_size:
-                new = {p for _, ps in split for p in ps[1:]}
-            self._learn(new)
-        get = self.cache.__getitem__
-        for (i, ps), first in zip(split, self._raw([ps[0] for _, ps in split]) if split else ()):
-            out[i] = first + b"".join(map(get, ps[1:]))
+        heads = self._raw([first for _, first, _ in split]) if split else []
+        for lo in range(0, len(split), 500):
+            part = split[lo : lo + 500]
+            found = [list(map(self.cache.get, rest)) for _, _, rest in part]
+            new = {p for (_, _, rest), ids in zip(part, found) if None in ids for p, x in zip(rest, ids) if x is None}
+            if new:
+                self._learn(new)  # which may start the cache anew: what was found stays found
+                found = [[x if x is not None else self.cache[p] for p, x in zip(rest, ids)] if None in ids else ids for (_, _, rest), ids in zip(part, found)]
+            for (i, _, _), head, ids in zip(part, heads[lo : lo + 500], found):
+                out[i] = head + b"".join(ids)
         return out
 
 
