@@ -392,7 +392,7 @@ def _boilerplate(b: _Builder, inside: bool) -> None:
         b.end(tag)
 
 
-def _article(b: _Builder) -> None:
+def _article(b: _Builder, title: bool = True) -> None:
     r = b.rng
     tag = r.choice(["article", "article", "article", "main", "div", "section"])
     attrs = "" if tag in ("article", "main") and r.random() < 0.6 else _attr(r, "article content post entry story article-body main-content post-content text body")
@@ -400,12 +400,12 @@ def _article(b: _Builder) -> None:
     if wrap:
         b.open("main" if tag != "main" and r.random() < 0.5 else "div", 0, _attr(r, "main wrapper container page content"))
     b.open(tag, 1, attrs)
-    if r.random() < 0.8:
+    if title and r.random() < 0.8:
         b.leaf("h1", 1, b.words(1, 12, False) if r.random() < 0.8 else b.words(1, 3))
     deep = r.random() < 0.25
     if deep:
         b.open("div", 1, _attr(r, "content body text entry post"))
-    for _ in range(r.randint(0, 9)):
+    for _ in range(r.randint(0 if title else 1, 9)):
         x = r.random()
         if x < 0.62:
             b.open("p", 1)
@@ -449,15 +449,21 @@ def _article(b: _Builder) -> None:
         b.html.append("</div></main>")
 
 
-def labelled_pages(n: int = 500, seed: int = 11) -> list[tuple[str, list[int]]]:
+def labelled_pages(n: int = 700, seed: int = 11) -> list[tuple[str, list[int]]]:
     """Pages in common layouts with a label for each element the parser makes."""
     rng, out = random.Random(seed), []
     for _ in range(n):
         b = _Builder(rng)
-        if rng.random() < 0.2:  # an article and nothing around it
+        if rng.random() < 0.3:  # an article and nothing around it, or bare paragraphs
             if rng.random() < 0.5:
                 b.open("body", 0)
-            _article(b)
+            if rng.random() < 0.3:
+                if rng.random() < 0.5:
+                    b.open("div", 0)
+                for _ in range(rng.randint(1, 5)):
+                    b.leaf("p", 1, b.words(8, 80))
+            else:
+                _article(b, rng.random() < 0.4)
             out.append(("".join(b.html), b.labels))
             continue
         b.html.append("<!DOCTYPE html><html><head><meta charset=utf-8><title>t</title><script>var t='</p>';</script></head>")
