@@ -20,7 +20,7 @@ from obsgate.sinks.parquet import remove_paths, shared_dir
 
 # Odd multipliers of the window hashes, derived from one rule (any odd 64-bit values do).
 _M = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-SLICE_CHARS, SLICE_ROWS = 3_000_000, 60_000
+SLICE_CHARS, SLICE_ROWS = 1_500_000, 60_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
