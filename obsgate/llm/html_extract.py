@@ -15,7 +15,8 @@ own, built by rule from common layouts; ``train`` takes any others.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks stand in page order, one a line. ``br`` is white space. Comments,
-scripts, styles and the head are never text; menus, headers, footers, sidebars,
+scripts, styles, the title and what stands between the tags of the elements in
+``UNSEEN`` are never text, formulas are; menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are for the model to leave out.
 
 Each page is parsed and scored by itself, in batches of bounded size: no shuffle.
@@ -43,16 +44,24 @@ from pyspark.sql import functions as F
 from obsgate.llm import common as C
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
+_ATTRS = r"(?>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)"
+_CODE = rf"<(script|style)(?=[\s/>]){_ATTRS}(?<!/)>(?:.*?</\1(?:[\s/][^>]*+)?+>|.*\Z)"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|textarea|title|canvas|object)\b[^>]*+>(?:.*?</\1\s*+>|.*\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
+    rf"|{_CODE}"
+    rf"|<(textarea|title)(?=[\s/>]){_ATTRS}(?<!/)>(?:.*?</\2(?:[\s/][^>]*+)?+>|.*\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})>"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<[a-zA-Z/][^<>]*+\Z",
     re.S | re.I,
 )
+# left out with what they hold; one that closes at once or is never closed holds nothing
+UNSEEN = {n: re.compile(rf"<!--.*?(?:-->|\Z)|{_CODE}|<(/?){n}(?=[\s/>])({_ATTRS})>", re.S | re.I) for n in "noscript template svg iframe canvas object annotation annotation-xml".split()}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 CONTAINER = frozenset("html body div main article section aside nav header footer form table tbody thead tfoot tr ul ol dl menu figure details dialog fieldset center".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 OWN_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
@@ -77,15 +86,22 @@ class Page:
         self.parent, self.depth, self.tag, self.attrs = [-1], [0], ["html"], [()]
         self.runs: list[tuple[int, int, str]] = []  # (element, block number, text) in page order
         stack, block, at = [0], 0, 0
-        for m in TOKEN.finditer(html):
+        ends: dict[str, dict[int, int]] = {}
+        while m := TOKEN.search(html, at):
             if m.start() > at:
                 self.runs.append((stack[-1], block, html[at : m.start()]))
             at = m.end()
-            name = m[3]
+            name = m[4]
             if name is None:
                 continue
             name = name.lower()
-            if m[2]:
+            if name in UNSEEN:
+                if not m[3]:
+                    if name not in ends:
+                        ends[name] = _ends(html, name)
+                    at = ends[name].get(m.start(), at)
+                continue
+            if m[3]:
                 block += name not in INLINE
                 self._close(stack, name)
                 continue
@@ -105,8 +121,8 @@ class Page:
             self.parent.append(stack[-1])
             self.depth.append(self.depth[stack[-1]] + 1)
             self.tag.append(name)
-            self.attrs.append(_attributes(m[4].strip()) if m[4] else ())
-            if not (m[4] or "").endswith("/") or name in CONTAINER:
+            self.attrs.append(_attributes(m[5].strip()) if m[5] else ())
+            if not (m[5] or "").endswith("/") or name in CONTAINER:
                 stack.append(len(self.parent) - 1)
         if at < len(html):
             self.runs.append((stack[-1], block, html[at:]))
@@ -129,6 +145,18 @@ class Page:
                 return
 
 
+def _ends(html: str, name: str) -> dict[int, int]:
+    """Where the elements ``name`` that start at some place and are closed end, nested ones each with its own tag."""
+    out, opened = {}, []
+    for m in UNSEEN[name].finditer(html):
+        if m[2]:
+            if opened:
+                out[opened.pop()] = m.end()
+        elif m[2] is not None and not m[3].endswith("/"):
+            opened.append(m.start())
+    return out
+
+
 @lru_cache(maxsize=50_000)
 def _attributes(raw: str) -> tuple[str, ...]:
     """What class, id, role and visibility say, as feature names."""

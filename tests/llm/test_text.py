@@ -173,6 +173,21 @@ def test_extraction_of_markup():
         assert H.texts([H.Page(html)], model()) == [want]
 
 
+def test_text_after_markup_that_holds_none():
+    first, last = "The first sentence of the text, as usual.", "The last paragraph of it, long enough."
+    for tag in (
+        '<svg viewBox="0 0 1 1" d="a>b"/>', "<svg><svg/><path/><text>no</text></svg>", "<svg><svg><path/></svg><text>no</text></svg>", "<svg><title>no</svg>", "<svg><title/></svg>", "<svg><path>", "<SVG />",
+        "<math/>", "<svg-icon name=x></svg-icon>", "<template-x></template-x>", "<title-bar></title-bar>", "<object-y/>", "<canvas>", "<canvas>no</canvas>", "<template>", "<template><p>no</template>",
+        "<noscript>", "<noscript><p>no</p></noscript>", "<object data=x>", "<object><object>no</object>no</object>", "<iframe src=x />", "<iframe>no</iframe>", "<script src=x />", "<script>'</svg>'</script >",
+    ):
+        for more in ("", "<p><svg><path/></svg><canvas></canvas><object></object><template></template><noscript></noscript></p>"):
+            page = f"<body><article><h1>T</h1><p>{first} {tag}</p><p>{last}</p>{more}<p>{last}</p></article></body>"
+            assert H.texts([H.Page(page)], model()) == [["T", first, last, last]], page
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=t>no</annotation></semantics></math>"
+    assert H.texts([H.Page(f"<article><h1>T</h1><p>Here the value {formula} holds, as usual.</p><p>{last}</p></article>")], model()) == [["T", "Here the value x=2 holds, as usual.", last]]
+    H.Page("<svg>" * 50_000)
+
+
 def test_extract_frame(spark, sf):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>Some text, here it is. And more of it, too.</p></article>"), (None, "u", "<" * 5000 + "a" * 5000), (3, "u", "<article><p>Some text, here it is. And more of it, too.</p></article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
