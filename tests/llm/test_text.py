@@ -210,6 +210,28 @@ def test_line_dedup_oracle(spark, sf):
     assert any(r[3] for r in want)
 
 
+def test_line_dedup_shares(spark):
+    planted = {  # host: pages, {line: pages that hold it}; the last line of each stays
+        "mixed": (1000, {"Home | News": 500, "Tous droits réservés.": 48, "Alle Rechte vorbehalten.": 30, "Todos los derechos reservados.": 15, "Licensed under CC BY 4.0.": 11, "A heading": 10}),
+        "hot": (6000, {"Weiter lesen": 420, "Lire la suite": 61, "A heading": 60}),
+        "small": (60, {"Política de privacidad": 5, "A heading": 4}),
+    }
+    rows = []
+    for host, (pages, lines) in planted.items():
+        held = [[] for _ in range(pages)]
+        for k, (line, n) in enumerate(lines.items()):
+            for i in range(n):
+                held[(i * 7 + k) % pages].append(line)
+        rows += [(host, f"own {i} of {host}", x) for i, x in enumerate(held)]
+    df = spark.createDataFrame([(h, "\n".join([*x[:1], own, *x[1:]])) for h, own, x in rows], "source string, text string")
+    got = sorted((r.row.source, r.kept_text) for r in line_dedup(df).collect())
+    stays = lambda x: [y for y in x if y == "A heading"]
+    want = []
+    for h, own, x in rows:
+        want.append((h, "\n".join([*stays(x[:1]), own, *stays(x[1:])])))
+    assert got == sorted(want)
+
+
 def test_line_dedup_edges(spark, edges, empty):
     rows = [(i, f"boiler\n\nown {i}\n", "h", i) for i in range(8)] + [(8, None, "h", 0), (9, "", "h", 0), (10, "boiler", None, 0), (11, "boiler", "h", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, host string, lines long")
