@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming search (operator 2).
 
 For every benchmark item, each document's windows of the item's number of words
-get a 64-bit SimHash of their weighted 5-word shingles. Fingerprints within
+(of a shorter document, the whole document as its one window) get a 64-bit SimHash of their weighted 5-word shingles. Fingerprints within
 ``RADIUS`` bits of an item's are found by multi-index hashing: of ``BLOCKS`` blocks
 at least one differs in at most ``RADIUS // BLOCKS`` bits, and a table per block
 lists the items near each value; no fingerprint within the radius is missed. A
@@ -106,15 +106,16 @@ class Items:
             o = np.argsort(near, kind="stable")
             self.tables.append((np.searchsorted(near[o], np.arange((1 << self.bits) + 1)), owner[o]))
 
-    def within(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window, item) of items of ``size`` words whose fingerprints differ in at most the radius."""
+    def within(self, prints: np.ndarray, size: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window, item) of items of ``size`` (to ``most``) words whose fingerprints differ in at most the radius."""
+        fits = (self.sizes >= size) & (self.sizes <= (size if most is None else most))
         found = []
         for j, (edge, owner) in enumerate(self.tables):
             v = ((prints >> np.uint64(j * self.bits)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
             lo, n = edge[v], edge[v + 1] - edge[v]
             w = np.repeat(np.arange(len(v)), n)
             item = owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-            ok = self.sizes[item] == size
+            ok = fits[item]
             w, item = w[ok], item[ok]
             near = _popcount(prints[w] ^ self.prints[item]) <= self.radius
             found.append(w[near] * len(self.ids) + item[near])
@@ -139,6 +140,17 @@ def _matches(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> I
             inside = np.concatenate([[0], np.cumsum(np.where(hit, weight, 0))])
             total = np.concatenate([[0], np.cumsum(weight)])
             near = np.flatnonzero(hit)  # a qualifying window has its first hit within its slack
+
+            def take(s: np.ndarray, d: np.ndarray, n_words: int, size: int, most: int) -> None:
+                m = n_words - SHINGLE + 1
+                for w, i in zip(*items.within(simhash(h, weight, s, m), size, most)):
+                    lo = int(s[w])
+                    own = h[lo : lo + m].tolist()
+                    sim = items.similarity(int(i), own, dict(zip(own, weight[lo : lo + m].tolist())))
+                    key = (int(d[w]), int(i))
+                    if sim >= least and (key not in best or sim > best[key][0]):
+                        best[key] = (sim, lo - int(offsets[d[w]]), n_words)
+
             for size in np.unique(items.sizes) if len(near) else ():
                 m = int(size) - SHINGLE + 1
                 slack = np.arange(-(m - 1), 1)
@@ -147,16 +159,16 @@ def _matches(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> I
                 s = s[(inside[s + m] - inside[s]) >= least * (total[s + m] - total[s])]
                 d = np.searchsorted(offsets, s, "right") - 1
                 ok = s + size <= offsets[d + 1]
-                s, d = s[ok], d[ok]
-                if not len(s):
-                    continue
-                for w, i in zip(*items.within(simhash(h, weight, s, m), int(size))):
-                    lo = int(s[w])
-                    own = h[lo : lo + m].tolist()
-                    sim = items.similarity(int(i), own, dict(zip(own, weight[lo : lo + m].tolist())))
-                    key = (int(d[w]), int(i))
-                    if sim >= least and (key not in best or sim > best[key][0]):
-                        best[key] = (sim, lo - int(offsets[d[w]]), int(size))
+                if ok.any():
+                    take(s[ok], d[ok], int(size), int(size), int(size))
+            # documents shorter than an item
+            n_words, longest = np.diff(offsets), int(items.sizes.max())
+            d = np.flatnonzero((n_words >= SHINGLE) & (n_words < longest))
+            s, e = offsets[d], offsets[d + 1] - SHINGLE + 1
+            d = d[(inside[e] - inside[s]) >= least * (total[e] - total[s])]
+            for n in np.unique(n_words[d]).tolist():
+                of = d[n_words[d] == n]
+                take(offsets[of], of, n, n + 1, longest)
         rows = [(ids[d], items.ids[i], *v) for (d, i), v in best.items()]
         types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], [c.split()[0] for c in SCHEMA.split(", ")])

@@ -74,6 +74,33 @@ def test_contamination_matches_brute_force(spark):
     assert D.contamination(df, bench.limit(0), text_col="item_id").count() == 0
 
 
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([59, 59, 31, 20, 7, 5])]
+    rows = []
+    for i, t in items:
+        ws = t.split()
+        for cut in range(1, len(ws), 1 + len(ws) // 12):
+            rows += [(len(rows), " ".join(ws[cut:])), (len(rows) + 1, " ".join(ws[:-cut]).upper() + ".")]
+    rows += [(1000, items[0][1].rsplit(" ", 3)[0]), (1001, f"{items[0][1]} {items[2][1]}"), (1002, ""), (1003, None)]
+
+    want = windows_by_hand(rows, items)
+    for i, text in rows:
+        for item, t in items:
+            ws, iw = D.normal_words(text or ""), D.normal_words(t)
+            if D.SHINGLE <= len(ws) < len(iw):
+                x, y = ([tuple(z[j : j + 5]) for j in range(len(z) - 4)] for z in (ws, iw))
+                w = {k: sum(map(len, k)) for k in {*x, *y}}
+                sim = sum(w[k] * min(x.count(k), y.count(k)) for k in w) / sum(w[k] * max(x.count(k), y.count(k)) for k in w)
+                if sim >= 0.8:
+                    want[i, item] = sim
+    got = D.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), radius=27).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert sum(len(D.normal_words(dict(rows)[i])) < len(items[k][1].split()) for i, k in want) > 10 and (1000, 0) in want
+    assert all(r.n_words == 56 and r.word_start == 0 for r in got if r.doc_id == 1000)
+
+
 def test_block_tables_find_all_within_radius():
     rng = np.random.default_rng(1)
     items = D.Items([(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(40)])
