@@ -115,6 +115,27 @@ def test_block_tables_find_all_within_radius():
     assert got == want
 
 
+def test_radius_reaches_the_threshold():
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghik") for _ in range(rng.randint(2, 8)))
+    made = [[word().encode() for _ in range(104)] for _ in range(150)]
+    items = D.Items([(i, b" ".join(ws).decode()) for i, ws in enumerate(made)])
+    lists = []
+    for k in range(3000):
+        ws, at = list(made[k % 150]), rng.randrange(5, 90)
+        ws[at : at + 7] = [word().encode() for _ in range(7)]
+        lists.append(ws)
+    h, weight, offsets = D.shingles(lists)
+    got = set(zip(*(x.tolist() for x in items.within(D.simhash(h, weight, offsets[:-1], 100), 104))))
+    near = 0
+    for k, lo in enumerate(offsets[:-1].tolist()):
+        own = h[lo : lo + 100].tolist()
+        if 0.8 <= items.similarity(k % 150, own, dict(zip(own, weight[lo : lo + 100].tolist()))) < 0.82:
+            near += 1
+            assert (k, k % 150) in got
+    assert near > 300
+
+
 # --- operator 3
 
 
