@@ -173,6 +173,17 @@ def test_jaccard_edges(edges, empty):
     assert jaccard_components(empty).count() == 0 and one_per_group(empty).count() == 0
 
 
+def test_one_per_group_with_shared_ids(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    near = lambda c: text(c).replace(f"{c}59", "changed")
+    rows = [(1, text("a")), (2, near("a")), (5, near("a")), (5, text("b")), (5, text("c")), (5, text("b")), (7, text("d")), (7, near("d")), (8, near("b")), (9, ""), (9, None), (9, text("e")), (None, text("a"))]
+    kept = [(r.doc_id, r.text) for r in one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    sevens = [t for i, t in kept if i == 7]
+    assert len(sevens) == 1 and sevens[0] in (text("d"), near("d"))
+    assert sum(i == 9 and not t for i, t in kept) == 1
+    assert sorted((i or 0, t) for i, t in kept if i != 7 and t) == [(0, text("a")), (1, text("a")), (5, text("b")), (5, text("c")), (9, text("e"))]
+
+
 def test_jaccard_large_groups(spark):
     """Near copies in numbers over the pairing limit, and documents near some of them only."""
     rng = random.Random(9)
