@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from obsgate.llm import token_counts as TC
 from obsgate.llm.packing import pack
+from obsgate.llm.token_counts import Counter
 from obsgate.llm.token_records import frame, read_index, read_shuffled, token_records, unframe, write_records
 from obsgate.llm.tokens import PieceEncoder, default_tokenizer
 
@@ -103,3 +105,53 @@ def test_packing(request, tok, which):
 
 def test_packing_empty(empty):
     assert pack(empty).count() == 0
+
+
+# --- counts by the compiled transducers
+
+
+def test_counts_equal_the_library(tok):
+    rng = random.Random(12)
+    bits = [" ", "  ", "\n", "\t", "a", "ab", "'s", "'", "'re", "'l", "'ll", "'v", "'d", ".", ",", "1", "é", "\xa0", "!", "<|endoftext|>", "　", "\x1c", "中", "\r", "\x85", "́", "x" * 30, "ing", "the", "Ünï", "🙂", "r", "e", "s"]
+    machine = Counter(default_tokenizer(), 1 << 14, 2_000)  # a table that is started anew many times
+    for _ in range(1500):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(4)]
+        assert machine.count(texts).tolist() == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    texts = ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(97, 122), rng.randint(0, 0xD7FF)])) for _ in range(rng.randint(0, 300))) for _ in range(300)]
+    texts += ["".join(rng.choice("abcdeé") for _ in range(20_000)), "x" * 5_000, " " * 999, "ab " * 3_000]
+    assert machine.count(texts).tolist() == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@pytest.mark.parametrize("which", ["documents", "edges"])
+def test_token_counts(request, tok, which, monkeypatch):
+    monkeypatch.setattr(TC, "BLOCK", 500)
+    df, rows = request.getfixturevalue(which)
+    got = sorted(map(tuple, TC.token_counts(df).collect()), key=str)
+    sizes = [(i, len((t or "").encode()), len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+    assert got == sorted(((i, b, n, n > 1024) for i, b, n in sizes), key=str)
+
+
+def test_token_counts_of_nothing(empty):
+    assert TC.token_counts(empty).collect() == []
+
+
+def test_chunk_maps_compose():
+    rng = np.random.default_rng(9)
+    cls = rng.integers(0, TC.N_CLASSES, (50, 7)).astype(np.uint8)
+    scanned = TC.prefix_scan(TC.chunk_maps(cls))
+    for entered in range(TC.N_STATES):
+        state = entered
+        for k, row in enumerate(cls):
+            for c in row:
+                state = TC.split_step(state, int(c))[0]
+            assert scanned[k, entered] == state
+    flat = cls.ravel()
+    assert all((TC.piece_starts(flat, c) == TC.piece_starts(flat, 1000)).all() for c in (1, 2, 13))
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import public_tokenizers
+
+    for name in ("word_bpe_49k.json", "piece_bpe_32k.model"):
+        with pytest.raises(ValueError):
+            Counter(public_tokenizers.path(name))
