@@ -8,11 +8,12 @@ rank stages its distinct keys (one small job) to stay consistent.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from obsgate.functions.rowkey import row_bytes
 from obsgate.functions.tokens import name_years
 from obsgate.sinks.parquet import stage
 
@@ -21,7 +22,10 @@ DAY_KEYS = ("YEAR", "MONTH", "DAY")
 
 # --- V1: year coverage per file ------------------------------------------------
 
-def coverage_by_file(
+WORD = 64  # years of one bitmap word
+
+
+def coverage_state(
     df: DataFrame,
     file_col: str = "file_name",
     year_col: str = "YEAR",
@@ -29,35 +33,60 @@ def coverage_by_file(
     name_col: str | None = None,
     where: Column | None = None,
     bad: Column | None = None,
-    extra: Sequence[Column] = (),
+    sums: Mapping[str, Column] | None = None,
+    tops: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per file: name years, observed min/max/distinct years, verdict.
-
-    A file is *covered* when the observed minimum and maximum year equal the
-    start and end years in its name and every year in between occurs.
-    ``where`` restricts which rows' years count (e.g. good rows only);
-    ``bad`` counts rows flagged bad, ``extra`` adds aggregates. ``file_col`` identifies a file (e.g. its
-    full path); the years are read from ``name_col`` (default: the same
-    column). One grouped aggregate for all files:
-    partial aggregation happens map-side, the shuffle carries one row per
-    (file, year) at most.
+    """Mergeable state of each file's years and rows: a row per file and word of 64 years.
+
+    A word holds the years observed as bits, so distinct years are counted
+    without a row per year, and the states of a file's parts (tasks, files of a
+    folder, later loads) combine by ``bit_or``, minimum, maximum and sum
+    (:func:`merge_states`). Rows whose year doesn't count have the word NULL.
+    ``where`` restricts which rows' years count (e.g. good rows only); ``bad`` counts
+    rows flagged bad, ``sums`` rows that meet other conditions, ``tops`` are maxima. ``file_col``
+    identifies a file (e.g. its full path); ``name_col`` holds the name with its years (default: the same column).
     """
-    year = F.col(year_col)
+    year = F.col(year_col).cast("int")
     counted = year if where is None else F.when(where, year)
+    conditions = ({} if where is None else {"n_counted": where}) | ({} if bad is None else {"n_bad": bad}) | dict(sums or {})
+    keys = [file_col] if name_col in (None, file_col) else [file_col, name_col]
+    rows = df.select(*keys, counted.alias("__year"), *[F.coalesce(c, F.lit(False)).alias(n) for n, c in conditions.items()],
+                     *[c.alias(n) for n, c in (tops or {}).items()])
+    rows = rows.withColumn("word", F.floor(F.col("__year") / WORD).cast("int"))
     aggs = [
-        F.min(counted).alias("min_year"),
-        F.max(counted).alias("max_year"),
-        F.count_distinct(counted).alias("year_count"),
-        F.count(F.lit(1)).alias("n_rows"),
+        F.expr(f"bit_or(shiftleft(1L, cast(pmod(__year, {WORD}) AS int)))").alias("years"),
+        F.min("__year").alias("min_year"), F.max("__year").alias("max_year"), F.count(F.lit(1)).alias("n_rows"),
     ]
-    if where is not None:
-        aggs.append(F.count_if(where).alias("n_counted"))
-    if bad is not None:
-        aggs.append(F.count_if(bad).alias("n_bad"))
-    aggs += extra
-    keys = [file_col] if name_col in (None, file_col) else [file_col, name_col]
-    per_file = df.groupBy(*keys).agg(*aggs)
-    start, end = name_years(F.col(name_col or file_col))
+    return rows.groupBy(*keys, "word").agg(*aggs, *[F.count_if(n).alias(n) for n in conditions], *[F.max(n).alias(n) for n in tops or {}])
+
+
+def _state_aggs(state: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """How each column of a state combines: bits or'ed, counts summed, the rest by maximum."""
+    out = []
+    for f in state.schema.fields:
+        if f.name in (*keys, "word"):
+            continue
+        how = F.bit_or if f.name == "years" else F.min if f.name == "min_year" else F.sum if f.name.startswith("n_") else F.max
+        out.append(how(f.name).alias(f.name))
+    return out
+
+
+def merge_states(*states: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
+    """One state for the files of all ``states`` (of one or more loads)."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
+    return every.groupBy(*keys, "word").agg(*_state_aggs(every, keys))
+
+
+def coverage_from_state(state: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
+    """One row per file from its (merged) state: name years, observed years, counts, verdict.
+
+    ``keys``: the columns that identify a file; the last one holds its name. A file is
+    *covered* when the observed minimum and maximum year equal the start and
+    end years in its name and every year in between occurs.
+    """
+    counts = [c for c in _state_aggs(state.drop("years"), keys)]
+    per_file = state.groupBy(*keys).agg(F.coalesce(F.sum(F.bit_count("years").cast("long")), F.lit(0)).alias("year_count"), *counts)
+    start, end = name_years(F.col(keys[-1]))
     per_file = per_file.withColumns({"name_start_year": start, "name_end_year": end})
     covered = (
         (F.col("name_start_year") == F.col("min_year"))
@@ -72,6 +101,13 @@ def coverage_by_file(
     return per_file.withColumns({"covered": F.coalesce(covered, F.lit(False)), "reason": reason})
 
 
+def coverage_by_file(df: DataFrame, file_col: str = "file_name", year_col: str = "YEAR", *, name_col: str | None = None,
+                     **options) -> DataFrame:
+    """The verdict of every file in ``df``: its state, then the verdict from it (see :func:`coverage_state`)."""
+    keys = [file_col] if name_col in (None, file_col) else [file_col, name_col]
+    return coverage_from_state(coverage_state(df, file_col, year_col, name_col=name_col, **options), keys)
+
+
 def accepted_rows(df: DataFrame, files: DataFrame, file_col: str = "file_name",
                   accepted: Column | None = None) -> DataFrame:
     """Rows of ``df`` whose file is accepted in ``files`` (left-semi join).
@@ -90,19 +126,19 @@ def accepted_rows(df: DataFrame, files: DataFrame, file_col: str = "file_name",
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, count_col: str = "n") -> DataFrame:
     """Distinct row values occurring more than once, with their count.
 
-    Only a 256-bit digest of each row is counted; wide values are shuffled for
-    the rows that do repeat. Digests follow Spark's row equality (NULL equals
-    NULL, NaN equals NaN, -0.0 equals 0.0).
+    Rows are told apart by their exact encoding (:mod:`obsgate.functions.rowkey`).
+    A 64-bit hash of it is counted first, so only eight bytes of a row are
+    shuffled; the encodings themselves are compared for the rows whose hash
+    occurs again, and rows of different values that share a hash stay apart.
     """
     cols = list(df.columns if cols is None else cols)
-    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    values = [(F.col(c) + F.lit(0.0)).alias(c) if c in floats else F.col(c) for c in cols]
-    keyed = df.select(*cols, F.sha2(F.to_json(F.struct(*values)), 256).alias("__digest"))
-    repeated = (keyed.groupBy("__digest").agg(F.count(F.lit(1)).alias(count_col))
-                .filter(F.col(count_col) > 1))
-    rows = keyed.join(repeated, "__digest")
-    return rows.groupBy("__digest").agg(*[F.any_value(c).alias(c) for c in cols],
-                                        F.any_value(count_col).alias(count_col)).drop("__digest")
+    names = [F.col(f"__row.`{c}`") for c in cols]
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"), row_bytes(df.schema, cols).alias("__bytes"))
+    keyed = keyed.withColumn("__hash", F.xxhash64("__bytes"))
+    again = keyed.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select("__hash")
+    rows = keyed.join(again, "__hash", "left_semi")
+    counted = rows.groupBy("__hash", "__bytes").agg(F.any_value("__row").alias("__row"), F.count(F.lit(1)).alias("__n"))
+    return counted.filter(F.col("__n") > 1).select(*[n.alias(c) for n, c in zip(names, cols)], F.col("__n").alias(count_col))
 
 
 def has_duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> bool:

@@ -13,20 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from obsgate.operators.parse import ERROR_CLASS, parse_by_layout
 from obsgate.operators.route import MANDATORY_NULL, route_pressure, to_quarantine
 from obsgate.operators.transform import dedupe, fill_missing, to_hpa
-from obsgate.operators.validate import accepted_rows, coverage_by_file
-from obsgate.plans.common import (
-    FILE_KEY,
-    LoadResult,
-    as_lines,
-    day_counts,
-    file_counts,
-    matches_target,
-    new_rows,
-    staged_verdicts,
-    staging,
-    status_frame,
-)
-from obsgate.sinks.parquet import new_load_id, stage, write_quarantine, write_table
+from obsgate.operators.validate import accepted_rows, coverage_from_state, coverage_state, has_multi_record_days
+from obsgate.plans.common import FILE_KEY, FILE_KEYS, Load, LoadResult
+from obsgate.sinks.parquet import write_quarantine
 from obsgate.sources.text import with_file_path
 from obsgate.sources.registry import (
     PRESSURE_CANONICAL,
@@ -68,21 +57,18 @@ def parse_pressure(lines: DataFrame, *, ranges: Mapping[str, str] = PRESSURE_FIL
     return parsed.withColumn("value", line).drop(LAYOUT_COL, "_corrupt_record")
 
 
-def pressure_files(parsed: DataFrame) -> DataFrame:
-    """Per-file verdicts: unknown name, all rows corrupt, or coverage of good rows.
+def pressure_state(parsed: DataFrame) -> DataFrame:
+    """Mergeable per-file state; years of good rows of known files count.
 
     A file is known if its rows carry a range, whatever registry gave it.
     """
     good, known = F.col(ERROR_CLASS).isNull(), F.col("SPLIT_RANGE").isNotNull()
-    files = coverage_by_file(
-        parsed,
-        FILE_KEY,
-        name_col="file_name",
-        where=good & known,
-        bad=F.col(ERROR_CLASS).isNotNull(),
-        extra=[F.max("SPLIT_RANGE").alias("split_range"),
-               F.count_if(good & known & F.col("YEAR").isNull()).alias("n_no_year")],
-    )
+    return coverage_state(parsed, FILE_KEY, name_col="file_name", where=good & known, bad=~good,
+                          sums={"n_no_year": good & known & F.col("YEAR").isNull()}, tops={"split_range": F.col("SPLIT_RANGE")})
+
+
+def pressure_verdicts(files: DataFrame) -> DataFrame:
+    """Verdicts with those of pressure files: unknown name, all rows corrupt, or coverage of good rows."""
     reason = (
         F.when(F.col("split_range").isNull(), F.lit("UNKNOWN_FILE"))
         .when(F.col("n_bad") == F.col("n_rows"), F.lit("ALL_CORRUPT"))
@@ -91,6 +77,11 @@ def pressure_files(parsed: DataFrame) -> DataFrame:
     return files.withColumn("reason", reason).withColumn("covered", F.col("reason").isNull())
 
 
+def pressure_files(parsed: DataFrame) -> DataFrame:
+    """Per-file verdicts."""
+    return pressure_verdicts(coverage_from_state(pressure_state(parsed), FILE_KEYS))
+
+
 def pressure_quarantine(parsed: DataFrame) -> DataFrame:
     """Bad rows of every identified file (written before the coverage gate, as the original)."""
     _, bad = route_pressure(parsed.filter(F.col("SPLIT_RANGE").isNotNull()))
@@ -116,15 +107,15 @@ def load_pressure(
     legacy_int_fill: bool = True,
     mode: str = "append",
     quarantine_format: str = "csv",
-    load_id: str | None = None,
-    existing: DataFrame | None = None,
+    **options,
 ) -> LoadResult:
-    """Load ``source``. ``existing``: rows stored before; they are not loaded again."""
-    load_id = load_id or new_load_id()
-    with staging(spark) as staged:
-        parsed = stage(parse_pressure(as_lines(spark, source), ranges=ranges, policy=policy),
-                       "pressure-parsed", staged)
-        files = staged_verdicts(spark, source, pressure_files(parsed), "pressure-files", staged)
+    """Load ``source`` into the Parquet table at ``output``; options as of :func:`obsgate.plans.temperature.load_temperature`."""
+    with Load(spark, "pressure", source, output, PARTITION_COLS, mode=mode, **options) as run:
+        parsed, _ = run.stages.add(parse_pressure(run.lines(), ranges=ranges, policy=policy), "parsed")
+        ok = F.col("reason").isNull()
+        files, counts = run.verdicts(pressure_state(parsed), pressure_verdicts, n_good=F.when(ok, F.col("n_counted")),
+                                     n_no_year=F.when(ok, F.col("n_no_year")),
+                                     rows_quarantined=F.when(F.col("split_range").isNotNull(), F.col("n_bad")))
         good, _ = route_pressure(parsed)
         good = accepted_rows(good, files, FILE_KEY)
         bad = pressure_quarantine(parsed)
@@ -135,24 +126,17 @@ def load_pressure(
             bad = bad.unionByName(to_quarantine(good.filter(no_year), F.lit(MANDATORY_NULL)))
             good = good.filter(~no_year)
         kept = process_pressure(good, swedish_inch_mm=swedish_inch_mm, legacy_int_fill=legacy_int_fill)
-        loaded = stage(new_rows(dedupe(kept), existing), "pressure-loaded", staged)
+        loaded, rows = run.store(dedupe(kept))
 
-        ok = F.col("reason").isNull()
-        counts = file_counts(files, n_good=F.when(ok, F.col("n_counted")), n_no_year=F.when(ok, F.col("n_no_year")),
-                             rows_quarantined=F.when(F.col("split_range").isNotNull(), F.col("n_bad")))
         kept_rows, no_years = counts.pop("n_good"), counts.pop("n_no_year")
         if not legacy_int_fill:
             kept_rows -= no_years
             counts["rows_quarantined"] += no_years
-        rows, multi = day_counts(loaded)
-        gates = {"multi_record_days": multi, "schema_ok": matches_target(spark, loaded, output)}
+        gates = {"multi_record_days": has_multi_record_days(loaded), "schema_ok": run.schema_ok(loaded)}
         gates["gates_passed"] = counts["files_accepted"] > 0 and gates["schema_ok"] is not False
         gates["loaded"] = output is not None and gates["gates_passed"]
         counts |= {"rows_kept": kept_rows, "rows_dropped": 0, "rows_staged": rows, "rows_deduped": kept_rows - rows,
                    "rows_loaded": rows if gates["loaded"] else 0}
         if quarantine_path is not None and counts["rows_quarantined"] > 0:
-            write_quarantine(bad, quarantine_path, load_id, fmt=quarantine_format)
-        if gates["loaded"]:
-            write_table(loaded, output, PARTITION_COLS, mode, load_id)
-        status = status_frame(spark, "pressure", counts, gates)
-        return LoadResult("pressure", loaded, bad, files, status, gates, counts, staged, load_id)
+            write_quarantine(bad, quarantine_path, run.load_id, fmt=quarantine_format)
+        return run.finish(loaded, bad, files, counts, gates)

@@ -16,21 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from obsgate.operators.parse import ERROR_CLASS, parse_lines
 from obsgate.operators.route import acceptable, route_temperature
 from obsgate.operators.transform import categorize_publisher, dedupe, fill_nan
-from obsgate.operators.validate import accepted_rows, coverage_by_file
-from obsgate.plans.common import (
-    FILE_KEY,
-    LoadResult,
-    as_lines,
-    day_counts,
-    file_counts,
-    matches_target,
-    new_rows,
-    staged_verdicts,
-    staging,
-    status_frame,
-    touched,
-)
-from obsgate.sinks.parquet import new_load_id, stage, write_quarantine, write_table
+from obsgate.operators.validate import accepted_rows, coverage_from_state, coverage_state
+from obsgate.plans.common import FILE_KEY, FILE_KEYS, Load, LoadResult
+from obsgate.sinks.parquet import write_quarantine
 from obsgate.sources.registry import TEMPERATURE, TEMPERATURE_CANONICAL
 from obsgate.sources.text import with_file_path, with_provenance
 
@@ -48,11 +36,15 @@ def parse_temperature(lines: DataFrame, *, policy: str = "null_row") -> DataFram
                          ERROR_CLASS)
 
 
-def temperature_files(parsed: DataFrame) -> DataFrame:
-    """Per-file verdicts; every parsed row's YEAR counts (bad rows too)."""
+def temperature_state(parsed: DataFrame) -> DataFrame:
+    """Mergeable per-file state; every parsed row's YEAR counts (bad rows too)."""
     corrupt, ok = F.col(ERROR_CLASS).isNotNull(), acceptable(TEMPERATURE.mandatory)
-    extra = [F.count_if(ok).alias("n_ok"), F.count_if(corrupt & ~ok).alias("n_refused")]
-    return coverage_by_file(parsed, FILE_KEY, name_col="file_name", bad=corrupt, extra=extra)
+    return coverage_state(parsed, FILE_KEY, name_col="file_name", bad=corrupt, sums={"n_ok": ok, "n_refused": corrupt & ~ok})
+
+
+def temperature_files(parsed: DataFrame) -> DataFrame:
+    """Per-file verdicts."""
+    return coverage_from_state(temperature_state(parsed), FILE_KEYS)
 
 
 def process_temperature(accepted: DataFrame, *, legacy_mandatory_null: bool = False):
@@ -72,37 +64,36 @@ def load_temperature(
     legacy_mandatory_null: bool = False,
     mode: str = "append",
     quarantine_format: str = "csv",
-    load_id: str | None = None,
-    existing: DataFrame | None = None,
+    **options,
 ) -> LoadResult:
-    """Load ``source``. ``existing``: rows stored before; they are not loaded again and count for the day gate."""
-    load_id = load_id or new_load_id()
-    with staging(spark) as staged:
-        parsed = stage(parse_temperature(as_lines(spark, source), policy=policy), "temperature-parsed", staged)
-        files = staged_verdicts(spark, source, temperature_files(parsed), "temperature-files", staged)
+    """Load ``source`` into the Parquet table at ``output``.
+
+    ``table``: publish to this catalog table instead, whose files lie below ``output``; rows that it holds are not
+    stored again. ``existing``: rows stored before; they are not loaded again and count for the day gate. ``ledger``: folder
+    of the ledger of files; those loaded before and unchanged are not read. ``file_state``: folder of the
+    years seen per file, which count for later loads of a file of that name. ``resume`` (with ``load_id``): steps
+    that an earlier run of this load completed are not made again. ``unit="folder"``: a file is a folder of part files.
+    """
+    with Load(spark, "temperature", source, output, PARTITION_COLS, mode=mode, **options) as run:
+        parsed, _ = run.stages.add(parse_temperature(run.lines(), policy=policy), "parsed")
+        ok = F.col("reason").isNull()
+        files, counts = run.verdicts(temperature_state(parsed), lambda files: files, n_ok=F.when(ok, F.col("n_ok")),
+                                     n_all=F.when(ok, F.col("n_rows")), n_refused=F.when(ok, F.col("n_refused")))
         accepted = accepted_rows(parsed, files, FILE_KEY)
         kept, bad = process_temperature(accepted, legacy_mandatory_null=legacy_mandatory_null)
-        loaded = stage(new_rows(dedupe(kept), existing), "temperature-loaded", staged)
+        loaded, rows = run.store(dedupe(kept))
 
-        ok = F.col("reason").isNull()
-        counts = file_counts(files, n_ok=F.when(ok, F.col("n_ok")), n_all=F.when(ok, F.col("n_rows")),
-                             n_refused=F.when(ok, F.col("n_refused")))
         n_ok, n_all, n_refused = (counts.pop(c) for c in ("n_ok", "n_all", "n_refused"))
         if not legacy_mandatory_null:
             kept_rows, refused = n_ok, n_all - n_ok
         else:  # the original rule: what is neither kept nor quarantined is dropped, and counted here
             kept_rows, refused = (n_ok if n_refused else n_all), n_refused
-        rows, multi = day_counts(loaded)
-        if existing is not None:
-            multi = multi or day_counts(touched(existing, loaded).select(*loaded.columns).unionByName(loaded))[1]
-        gates = {"multi_record_days": multi, "schema_ok": matches_target(spark, loaded, output)}
+        multi = run.several_a_day(loaded)
+        gates = {"multi_record_days": multi, "schema_ok": run.schema_ok(loaded)}
         gates["gates_passed"] = rows > 0 and not multi and gates["schema_ok"] is not False
         gates["loaded"] = output is not None and gates["gates_passed"]
         counts |= {"rows_kept": kept_rows, "rows_quarantined": refused, "rows_dropped": n_all - kept_rows - refused,
                    "rows_staged": rows, "rows_deduped": kept_rows - rows, "rows_loaded": rows if gates["loaded"] else 0}
         if quarantine_path is not None and refused > 0:
-            write_quarantine(bad, quarantine_path, load_id, fmt=quarantine_format)
-        if gates["loaded"]:
-            write_table(loaded, output, PARTITION_COLS, mode, load_id)
-        status = status_frame(spark, "temperature", counts, gates)
-        return LoadResult("temperature", loaded, bad, files, status, gates, counts, staged, load_id)
+            write_quarantine(bad, quarantine_path, run.load_id, fmt=quarantine_format)
+        return run.finish(loaded, bad, files, counts, gates)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from obsgate.functions.tokens import is_manual_station
 from obsgate.sources.registry import AUTOMATIC_STATION_PREFIX
 
+UNITS = ("file", "folder")
+
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bool = False,
                unit: str = "file") -> DataFrame:
@@ -25,23 +27,29 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], *, recursive: bo
     part files (as Spark writes one); its name is the folder's, or what
     follows ``=`` in a ``key=name`` folder.
     """
-    if unit not in ("file", "folder"):
-        raise ValueError("unit must be 'file' or 'folder'")
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}")
     reader = spark.read.format("text")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if isinstance(paths, str):
         paths = [paths]
     df = reader.load(list(paths))
+    path, name = file_unit(F.col("_metadata.file_path"), unit)
+    return df.select("value", name.alias("file_name"), plain_path(path).alias("file_path"))
+
+
+def file_unit(path: Column, unit: str) -> tuple[Column, Column]:
+    """Path and (URL-decoded) name of the observation file that a scanned file is or belongs to."""
     if unit == "folder":
-        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
-        return df.select("value", _decoded(F.regexp_extract(folder, "([^/=]+)$", 1)).alias("file_name"),
-                         folder.alias("file_path"))
-    return df.select(
-        "value",
-        file_name_column().alias("file_name"),
-        F.col("_metadata.file_path").alias("file_path"),
-    )
+        folder = F.regexp_extract(path, "^(.*)/[^/]+$", 1)
+        return folder, _decoded(F.regexp_extract(folder, "([^/=]+)$", 1))
+    return path, _decoded(F.regexp_extract(path, "([^/]+)$", 1))
+
+
+def plain_path(path: Column) -> Column:
+    """``file:///x`` and ``file:/x`` are one file."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):///+", "$1:/")
 
 
 def file_name_column() -> Column:
@@ -58,20 +66,6 @@ def _decoded(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def files_without_lines(spark: SparkSession, paths: str | Sequence[str], files: DataFrame) -> DataFrame:
-    """``(file_path, file_name)`` of the input files that have no row in ``files``:
-    zero-length ones, which scans skip, and those with blank lines only.
-
-    The listing is the one the driver makes for the scan anyway (paths, no contents).
-    """
-    listed = spark.read.format("text").load([paths] if isinstance(paths, str) else list(paths)).inputFiles()
-    every = spark.createDataFrame([(p,) for p in listed], "file_path string")
-    name = _decoded(F.regexp_extract("file_path", "([^/]+)$", 1))
-    plain = F.regexp_replace("file_path", "^([A-Za-z0-9+.-]+):/+", "$1:/")  # file:///x and file:/x are one file
-    without = every.withColumn("__path", plain).join(files.select(plain.alias("__path")), "__path", "left_anti")
-    return without.select("file_path", name.alias("file_name"))
-
-
 def with_file_path(df: DataFrame) -> DataFrame:
     """Lines without a ``file_path`` (e.g. rendered from a table) use the name as path."""
     return df if "file_path" in df.columns else df.withColumn("file_path", F.col("file_name"))
