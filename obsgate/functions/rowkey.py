@@ -80,7 +80,7 @@ def _micros(c: Column, t: T.DataType) -> Column:
     if isinstance(t, T.TimestampType):
         return F.unix_micros(c)
     second = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
-    return F.unix_date(c.cast("date")).cast("long") * 86_400_000_000 + F.hour(c) * F.lit(3_600_000_000) + F.minute(c) * F.lit(60_000_000) + second
+    return F.unix_date(c.cast("date")).cast("long") * 86_400_000_000 + (F.hour(c) * 60 + F.minute(c)).cast("long") * 60_000_000 + second
 
 
 def value_bytes(c: Column, t: T.DataType) -> Column:

@@ -48,7 +48,7 @@ def footer_layouts(spark: SparkSession, path: str, ledger: str | None = None) ->
     listed = _files(spark, path).select(*_keys())
     if ledger is None or table_schema(spark, ledger) is None:
         return _files(spark, path).select(*_keys(), "content").mapInArrow(_layouts, LAYOUT)
-    known = spark.read.schema(LAYOUT).parquet(ledger).dropDuplicates(KEYS)
+    known = spark.read.schema(LAYOUT).parquet(ledger).select(*KEYS, "layout").dropDuplicates(KEYS)
     unseen = [r.file_path for r in listed.join(known.select(*KEYS), KEYS, "left_anti").select("file_path").collect()]  # files that no load of ours wrote
     old = listed.join(known, KEYS)
     if not unseen:

@@ -40,11 +40,11 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], *, recursive: bo
     void = every.join(filled.select(plain_path(F.col("path")).alias("__path")), plain_path(F.col("path")) == F.col("__path"), "left_anti")
     void = void.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
     listed = filled.unionByName(void)
-    path, name = file_unit(F.col("path"), unit)
+    path, name = file_unit(plain_path(F.col("path")), unit)
     listed = listed.select(path.alias("file_path"), name.alias("file_name"), "length", "modified")
     if unit == "folder":
         listed = listed.groupBy("file_path", "file_name").agg(F.sum("length").alias("length"), F.max("modified").alias("modified"))
-    return listed.withColumn("file_path", plain_path(F.col("file_path"))).select(*LISTED)
+    return listed.select(*LISTED)
 
 
 def fingerprint() -> dict[str, Column]:

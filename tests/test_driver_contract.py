@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from obsgate.plans.tables import QUERIES
+from obsgate.plans.registered import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",

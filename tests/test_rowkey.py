@@ -21,7 +21,7 @@ VALUES = {
     "string": [None, "", "\x00", "\x00\x00", "\x00\x01", "\x01", "a", "a\x00", "a\x00b", "ab", "b", "é", "中", "🙂"],
     "boolean": [None, False, True],
     "date": [None, dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(2024, 2, 29)],
-    "timestamp_ntz": [None, dt.datetime(1756, 1, 1, 0, 0, 0, 1), dt.datetime(2021, 3, 28, 2, 30), dt.datetime(2021, 3, 28, 2, 30, 0, 1), dt.datetime(2021, 3, 28, 3, 30)],
+    "timestamp_ntz": [None, dt.datetime(1756, 1, 1, 0, 0, 0, 1), dt.datetime(2021, 3, 28, 2, 30), dt.datetime(2021, 3, 28, 2, 30, 0, 1), dt.datetime(2021, 3, 28, 3, 30), dt.datetime(2021, 3, 28, 23, 59, 59, 999999)],
     "timestamp": [None, dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2021, 3, 28, 2, 30), dt.datetime(2021, 3, 28, 2, 30, 0, 1)],
     "decimal(20,9)": [None, D("-99999999999.999999999"), D("-1"), D("-0.000000001"), D("0"), D("0.000000001"), D("0.1"), D("1"), D("99999999999.999999999")],
     "decimal(38,0)": [None, D("7")],
