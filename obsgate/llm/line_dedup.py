@@ -9,9 +9,9 @@ Scale: each page contributes each line once, as a 64-bit hash; counts per
 (host, line) are combined before the shuffle, so neither a hot host nor a hot
 line gathers rows in one task. A host with L distinct lines a page on average
 has at most ``100 * L / max_pct`` boilerplate lines, so the list per host is
-bounded by the pages' length, not by their number. Texts are joined with that
-one row per host: adaptive execution broadcasts it when its measured size is
-small and otherwise splits hot hosts' partitions.
+bounded by the pages' length, not by their number. The lists, one row per host, are
+staged, so their size is known when texts are joined with them: they are broadcast, and no
+text is shuffled, while they are under the session's limit; beyond it hot hosts' partitions are split.
 
 Defined results: null text: null, no lines. Null host: the pages without host
 form one host. A text without boilerplate is returned unchanged, one of which
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsgate.llm import common as C
+
 MAX_PCT = 1  # hosts mix languages and sections, each with header and footer lines of its own on a few pages in a hundred
 MIN_PAGES = 5
 
@@ -48,7 +50,7 @@ def boilerplate(df: DataFrame, *, host_col: str = "source", text_col: str = "tex
 
 def line_dedup(df: DataFrame, *, host_col: str = "source", text_col: str = "text", max_pct: int = MAX_PCT, min_pages: int = MIN_PAGES) -> DataFrame:
     """``df``'s rows as the struct ``row``, with ``kept_text``, ``n_lines`` and ``n_dropped``."""
-    bad = boilerplate(df, host_col=host_col, text_col=text_col, max_pct=max_pct, min_pages=min_pages)
+    bad = C.stage(boilerplate(df, host_col=host_col, text_col=text_col, max_pct=max_pct, min_pages=min_pages), "boilerplate")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.struct(F.col(f"`{host_col}`").alias("name")).alias("host"))
     text = F.col("row").getField(text_col)
     joined = rows.join(bad, "host", "left").withColumn("all", _lines(text))
