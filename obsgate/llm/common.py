@@ -6,8 +6,10 @@ exactly what ``bytes.split()`` without arguments yields.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@cache
+def lean() -> None:
+    """In a Python worker: large buffers go back to the system when freed. Workers stay for later stages, and
+    would keep what an earlier one took."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which stops growing once set
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def release(*staged: DataFrame) -> None:
     """Delete staged copies that no later plan reads."""
     for df in staged:
@@ -67,6 +80,7 @@ def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", max_chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into runs of whole rows of about ``max_chars``, with texts (null: empty)."""
+    lean()
     for b in batches:
         col = b.column(b.schema.get_field_index(text_col))
         size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
