@@ -333,10 +333,10 @@ def _attr(rng: random.Random, names: str) -> str:
     return f'{rng.choice(["class", "class", "class", "id"])}="{rng.choice(["", "", "site-", "page-", "x_"])}{name}"'
 
 
-def _boilerplate(b: _Builder, inside: bool) -> None:
+def _boilerplate(b: _Builder, inside: bool, what: str = "") -> None:
     """One piece that is not part of the article."""
     r = b.rng
-    what = r.choice("links ad comments form aside notice share byline footer header related".split())
+    what = what or r.choice("links ad comments form aside notice share byline footer header related".split())
     if what == "links":
         tag = r.choice(["nav", "div", "ul"]) if not inside else r.choice(["nav", "div"])
         b.open(tag, 0, "" if tag == "nav" and r.random() < 0.6 else _attr(r, "nav menu breadcrumb tabs toolbar topnav pagination"))
@@ -358,12 +358,12 @@ def _boilerplate(b: _Builder, inside: bool) -> None:
         b.end("div")
     elif what == "comments":
         tag = r.choice(["section", "div", "ol"])
-        b.open(tag, 0, _attr(r, "comments comment-list discussion responses replies reviews user-comments disqus"))
+        b.open(tag, 0, _attr(r, "comments comment-list discussion responses replies reviews user-comments disqus") or "class=comments")
         if tag != "ol" and r.random() < 0.6:
             b.leaf(r.choice(["h2", "h3", "h4"]), 0, b.words(1, 3, False))
         for _ in range(r.randint(1, 4)):
             own = "li" if tag == "ol" else r.choice(["div", "article", "p"])
-            b.open(own, 0, _attr(r, "comment reply comment-body response"))
+            b.open(own, 0, "" if r.random() < 0.4 else _attr(r, "comment reply comment-body response"))
             if own != "p" and r.random() < 0.7:
                 b.leaf("p", 0, b.words(4, 60))
             else:
@@ -420,7 +420,8 @@ def _boilerplate(b: _Builder, inside: bool) -> None:
         b.end(tag)
 
 
-def _article(b: _Builder, title: bool = True) -> None:
+def _article(b: _Builder, title: bool = True, comments: bool = False) -> None:
+    """An article; ``comments``: with those of readers right behind its text."""
     r = b.rng
     tag = r.choice(["article", "article", "article", "main", "div", "section"])
     attrs = "" if tag in ("article", "main") and r.random() < 0.6 else _attr(r, "article content post entry story article-body main-content post-content text body")
@@ -472,7 +473,11 @@ def _article(b: _Builder, title: bool = True) -> None:
             _boilerplate(b, True)
     if deep:
         b.end("div")
+    if comments and (within := r.random() < 0.6):
+        _boilerplate(b, True, "comments")
     b.end(tag)
+    if comments and not within:
+        _boilerplate(b, False, "comments")
     if wrap:
         b.html.append("</div></main>")
 
@@ -491,7 +496,7 @@ def labelled_pages(n: int = 700, seed: int = 11) -> list[tuple[str, list[int]]]:
                 for _ in range(rng.randint(1, 5)):
                     b.leaf("p", 1, b.words(8, 80))
             else:
-                _article(b, rng.random() < 0.4)
+                _article(b, rng.random() < 0.4, rng.random() < 0.4)
             out.append(("".join(b.html), b.labels))
             continue
         b.html.append("<!DOCTYPE html><html><head><meta charset=utf-8><title>t</title><script>var t='</p>';</script></head>")
