@@ -195,5 +195,6 @@ def contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id"
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``df`` without the documents that match an item (rows without id stay)."""
-    hit = C.stage(contamination(df, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return df.join(hit, F.col(f"`{id_col}`").cast("long") == F.col("_hit"), "left_anti")
+    hit = C.stage(contamination(df, benchmark, id_col=id_col, **options).select("doc_id").distinct(), "contaminated")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"))
+    return rows.join(hit, "doc_id", "left_anti").select("row.*")

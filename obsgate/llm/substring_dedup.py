@@ -18,9 +18,11 @@ passage that a third of all documents share arrives once per slice, not once
 per document. Hash ranges are as many as keep each at a few million postings.
 Texts are read three times instead of being shuffled word by word.
 
-Defined results: null or empty text: no words. Rows with one ``doc_id`` are taken
-for copies of one document (of repeated rows neither is earlier). A null ``doc_id`` counts as
-larger than any other. Empty table: no rows. Extra columns are ignored.
+Rows are told apart by a 64-bit key of ``doc_id`` and text; the id itself only orders them.
+
+Defined results: null or empty text: no words. Repeated rows (id and text) are one document: of them neither is
+earlier. Rows that share an id but not the text are documents of their own, in order of their keys. A null ``doc_id``
+counts as larger than any other. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,9 +42,9 @@ WINDOW, SEED = 20, 12
 PER_FRAGMENT = 2_000_000
 LAST = 2**63 - 1
 KNOWN = 0xFFFF  # over a slice's rows; posted for a hash that its slice has settled
-ROWS = "frag int, doc_id long, places binary, hashes binary, docs binary, at binary, ids binary"
+ROWS = "frag int, key long, places binary, hashes binary, docs binary, at binary, ids binary, keys binary"
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_repeats long"
-_TYPES = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+_TYPES = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
 _NAMES = [c.split()[0] for c in ROWS.split(", ")]
 
 
@@ -66,17 +68,17 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(_NAMES), _TYPES)], _NAMES)
 
 
-def _per_doc(ids: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[tuple]:
+def _per_doc(keys: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[tuple]:
     """A row per document with its places."""
     if not len(doc):
         return []
     o = np.argsort(doc, kind="stable")
     doc, place = doc[o], place[o].astype("<u4")
     start, n = P.runs(doc)
-    return [(-1, int(ids[doc[s]]), place[s : s + m].tobytes(), None, None, None, None) for s, m in zip(start, n)]
+    return [(-1, int(keys[doc[s]]), place[s : s + m].tobytes(), None, None, None, None, None) for s, m in zip(start, n)]
 
 
-def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, bits: int, brief: bool) -> list[tuple]:
+def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, keys: np.ndarray, bits: int, brief: bool) -> list[tuple]:
     """Rows of one slice by hash range; ``h`` ascending. ``brief``: 40 bits below the range's, enough for seeds."""
     edge, rows = P.cuts(h, bits), []
     for f in range(1 << bits):
@@ -88,21 +90,23 @@ def _posts(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, b
             local = np.full(hi - lo, KNOWN, "<u2")
             local[~known] = idx
             packed = P.pack40(h[lo:hi] >> np.uint64(24 - bits)) if brief else h[lo:hi].astype("<u8").tobytes()
-            rows.append((f, None, None, packed, local.tobytes(), P.pack_planes(place[lo:hi]), ids[used].astype("<i8").tobytes()))
+            rows.append((f, None, None, packed, local.tobytes(), P.pack_planes(place[lo:hi]), ids[used].astype("<i8").tobytes(), keys[used].astype("<i8").tobytes()))
     return rows
 
 
-def _gather(table: pa.Table, brief: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, documents (index into the ids; -1: none), places and ids of one hash range."""
-    hashes, docs, at, ids, base = [], [], [], [], 0
-    for h, d, p, i in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "at", "ids"))):
-        d, i = np.frombuffer(d, "<u2").astype(np.int64), np.frombuffer(i, "<i8")
+def _gather(table: pa.Table, brief: bool) -> tuple[np.ndarray, ...]:
+    """Hashes, documents (index into the ids; -1: none), places, ids and keys of one hash range."""
+    C.lean()
+    hashes, docs, at, ids, keys, base = [], [], [], [], [], 0
+    for h, d, p, i, k in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "at", "ids", "keys"))):
+        d, i = np.frombuffer(d, "<u2").astype(np.int32), np.frombuffer(i, "<i8")
         hashes.append(P.unpack40(h) if brief else np.frombuffer(h, "<u8"))
         docs.append(np.where(d == KNOWN, -1, d + base))
         at.append(P.unpack_planes(p))
         ids.append(i)
+        keys.append(np.frombuffer(k, "<i8"))
         base += len(i)
-    return tuple(np.concatenate(x) for x in (hashes, docs, at, ids))
+    return tuple(np.concatenate(x) for x in (hashes, docs, at, ids, keys))
 
 
 def _ids(col: pa.Array) -> np.ndarray:
@@ -116,23 +120,23 @@ def _seed_posts(batches: Iterator[pa.RecordBatch], bits: int, window: int, seed:
         doc = np.searchsorted(offsets, place, "right") - 1
         place = place - offsets[doc]
         o = np.argsort(h, kind="stable")
-        h, doc, place, ids = h[o], doc[o], place[o], _ids(part.column(0))
+        h, doc, place, ids, keys = h[o], doc[o], place[o], _ids(part.column(0)), part.column(2).to_numpy()
         start, n = P.runs(h)
         again = np.repeat(n > 1, n)
-        rows = _per_doc(ids, doc[again], place[again])
+        rows = _per_doc(keys, doc[again], place[again])
         d = np.where(again, KNOWN, doc)[start] if len(start) else doc
-        yield _batch(rows + _posts(h[start], d, place[start], ids, bits, True))
+        yield _batch(rows + _posts(h[start], d, place[start], ids, keys, bits, True))
 
 
 def _seeds(table: pa.Table) -> pa.Table:
     """Places of the anchors that another slice has too."""
-    h, doc, place, ids = _gather(table, True)
+    h, doc, place, _, keys = _gather(table, True)
     o = np.argsort(h, kind="stable")
     h, doc, place = h[o], doc[o], place[o]
     _, n = P.runs(h)
     hit = np.repeat(n > 1, n) & (doc >= 0)
-    rows = _per_doc(ids, doc[hit], place[hit])
-    return pa.table([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "places"])
+    rows = _per_doc(keys, doc[hit], place[hit])
+    return pa.table([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["key", "places"])
 
 
 def _places(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -148,11 +152,11 @@ def _places(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _window_posts(batches: Iterator[pa.RecordBatch], bits: int, window: int, seed: int) -> Iterator[pa.RecordBatch]:
     for part, texts in C.slices(batches):
         hashes, offsets = C.word_hashes([C.words(t) for t in texts])
-        doc, place = _places(part.column(2))
+        doc, place = _places(part.column(3))
         total = len(hashes)
         # windows that hold a seed: extension to the left and to the right
         mark = np.zeros(total + 1, np.int64)
-        ok = place + seed <= np.diff(offsets)[doc]  # else of another row with this doc_id
+        ok = place + seed <= np.diff(offsets)[doc]
         doc, p = doc[ok], offsets[doc[ok]] + place[ok]
         np.add.at(mark, np.maximum(p - (window - seed), offsets[doc]), 1)
         np.add.at(mark, p + 1, -1)
@@ -163,29 +167,28 @@ def _window_posts(batches: Iterator[pa.RecordBatch], bits: int, window: int, see
             continue
         h = C.window_hashes(hashes, window)[starts]
         d = np.searchsorted(offsets, starts, "right") - 1
-        ids, at = _ids(part.column(0)), starts - offsets[d]
-        o = np.lexsort((at, ids[d], h))
+        ids, keys, at = _ids(part.column(0)), part.column(2).to_numpy(), starts - offsets[d]
+        o = np.lexsort((at, keys[d], ids[d], h))
         h, d, at = h[o], d[o], at[o]
         start, n = P.runs(h)
         first = np.zeros(len(h), bool)
         first[start] = True
         first_of = np.repeat(start, n)
-        same = (ids[d] == ids[d[first_of]]) & (at == at[first_of])  # the same row twice
+        same = (keys[d] == keys[d[first_of]]) & (at == at[first_of])  # the same row twice
         later = ~first & ~same
-        yield _batch(_per_doc(ids, d[later], at[later]) + _posts(h[start], d[start], at[start], ids, bits, False))
+        yield _batch(_per_doc(keys, d[later], at[later]) + _posts(h[start], d[start], at[start], ids, keys, bits, False))
 
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Of the windows that several slices post, all places but the first."""
-    h, doc, at, ids = _gather(table, False)
-    own = ids[doc]
-    o = np.lexsort((at, own, h))
-    h, doc, at, own = h[o], doc[o], at[o], own[o]
+    h, doc, at, ids, keys = _gather(table, False)
+    o = np.lexsort((at, keys[doc], ids[doc], h))
+    h, at, own, doc = h[o], at[o], keys[doc][o], doc[o]
     start, n = P.runs(h)
     first_of = np.repeat(start, n)
     later = (own != own[first_of]) | (at != at[first_of])
-    rows = _per_doc(ids, doc[later], at[later])
-    return pa.table([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "places"])
+    rows = _per_doc(keys, doc[later], at[later])
+    return pa.table([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["key", "places"])
 
 
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -209,21 +212,20 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def _joined(posts: DataFrame, reduce) -> DataFrame:
-    """``(doc_id, places)``, a row per document: what the slices settled themselves and what their join finds."""
-    own = posts.filter("frag < 0").select("doc_id", "places")
-    found = posts.filter("frag >= 0").select("frag", "hashes", "docs", "at", "ids").groupBy("frag").applyInArrow(lambda t: reduce(t), "doc_id long, places binary")
-    return own.unionByName(found).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    """``(key, places)``, a row per document: what the slices settled themselves and what their join finds."""
+    own = posts.filter("frag < 0").select("key", "places")
+    found = posts.filter("frag >= 0").select("frag", "hashes", "docs", "at", "ids", "keys").groupBy("frag").applyInArrow(lambda t: reduce(t), "key long, places binary")
+    return own.unionByName(found).groupBy("key").agg(F.collect_list("places").alias("places"))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """``(doc_id, places)``: packed starts of the windows that also start earlier, for documents that have any."""
+    """``(key, places)``: packed starts of the windows that also start earlier, for documents ``(doc_id, text, key)`` that have any."""
     size = docs.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     per_window = window - seed + 2
     bits = P.fragment_bits(size // 6 * 2 // per_window, PER_FRAGMENT)
     posts = C.stage(docs.mapInArrow(lambda it: _seed_posts(it, bits, window, seed), ROWS), "substring-seeds")
     seeds = _joined(posts, _seeds)
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
-    near = keyed.join(seeds.withColumnRenamed("doc_id", "key"), "key").select("doc_id", "text", "places")
+    near = docs.join(seeds, "key").select("doc_id", "text", "key", "places")
     windows = C.stage(near.mapInArrow(lambda it: _window_posts(it, bits, window, seed), ROWS), "substring-windows")
     C.release(posts)
     return _joined(windows, _repeats)
@@ -231,7 +233,6 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
 
 def substring_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Per document: words, removed words, digest of what is left, number of maximal repeats."""
-    docs = C.documents(df, id_col, text_col)
-    gone = repeated_windows(docs, window, seed).withColumnRenamed("doc_id", "key")
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
-    return keyed.join(gone, "key", "left").select("doc_id", "text", "places").mapInArrow(lambda it: _remove(it, window), OUT)
+    docs = C.documents(df, id_col, text_col).withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    gone = repeated_windows(docs, window, seed)
+    return docs.join(gone, "key", "left").select("doc_id", "text", "places").mapInArrow(lambda it: _remove(it, window), OUT)

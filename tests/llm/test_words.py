@@ -10,7 +10,8 @@ import pytest
 from obsgate.llm import common as C
 from obsgate.llm import fragments as P
 from obsgate.llm.components import components
-from obsgate.llm.jaccard_join import jaccard_components, one_per_group
+from obsgate.llm.decontaminate import drop_contaminated
+from obsgate.llm.jaccard_join import frequent_keys, jaccard_components, one_per_group
 from obsgate.llm.quality_rules import keep_good, longest_repeats, quality_rules
 from obsgate.llm.substring_dedup import substring_dedup
 
@@ -125,6 +126,14 @@ def test_substring_dedup_random(spark, empty):
     assert substring_dedup(empty).count() == 0
 
 
+def test_substring_dedup_rows_without_id_or_sharing_one(spark):
+    """Rows are judged by themselves: what repeats nowhere stays, whatever another row of the same id has at its place."""
+    text = lambda c, n=30: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, text("p")), (None, text("p")), (None, text("u")), (None, text("q")), (7, text("s")), (7, text("t")), (8, "x " + text("s")), (9, text("v")), (9, text("v")), (None, text("z") + " a"), (None, text("z") + " b")]
+    got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()), key=str)
+    assert got == sorted([(1, 30, 0), (None, 30, 30), (None, 30, 0), (None, 30, 0), (7, 30, 0), (7, 30, 0), (8, 31, 30), (9, 30, 0), (9, 30, 0), (None, 31, 0), (None, 31, 30)], key=str)
+
+
 # --- operator 8
 
 
@@ -173,6 +182,34 @@ def test_jaccard_edges(edges, empty):
     assert jaccard_components(empty).count() == 0 and one_per_group(empty).count() == 0
 
 
+def test_jaccard_links_rows_without_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(base))
+    rows = [(3, near(59)), (None, near()), (None, near(0)), (9, near(0, 1)), (None, "other words of a row that nothing is like"), (None, None)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.component_id or 0, r.n_shingles) for r in got) == [(0, 0), (0, 5), (3, 56), (3, 56), (3, 56), (3, 56)]
+    assert all(r.links for r in got if r.component_id)
+
+
+def test_columns_named_as_the_helpers(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    names = ["doc_id", "text", "_out", "_hit", "_id", "_set", "_node", "_again", "row", "node", "key", "id", "set", "component", "component_id"]
+    rows = [(i, t, *range(len(names) - 2)) for i, t in ((1, text), (2, text), (2, text), (4, "item words " + text), (5, "something else altogether"), (None, text))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names[2:]))
+    assert (got := one_per_group(df)).columns == names and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1, 5]
+    assert [r._node for r in got.collect()] == [names[2:].index("_node")] * 3
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert (got := drop_contaminated(df, items)).columns == names and sorted(r.doc_id or 0 for r in got.collect()) == [0, 5]
+
+
+def test_frequent_list_is_cut_inside_a_level(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(k, k + 40))) for i, k in enumerate([0] * 40 + [100] * 40 + [200] * 40)], "doc_id long, text string")
+    whole = frequent_keys(df, 5, 4, most=1000)
+    some = frequent_keys(df, 5, 4, most=50)
+    assert len(whole) == 108 and 20 < len(some) < 80 and set(some) < set(whole)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == {(i, 36, i // 40 * 40) for i in range(120)}
+
+
 def test_one_per_group_with_shared_ids(spark):
     text = lambda c: " ".join(f"{c}{i}" for i in range(60))
     near = lambda c: text(c).replace(f"{c}59", "changed")
