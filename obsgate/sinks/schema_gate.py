@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from obsgate.sinks.parquet import LOAD_ID, load_path, new_load_id, table_schema
@@ -22,17 +21,23 @@ KEYS = ["file_path", "length", "modified"]
 LAYOUT = "file_path string, length long, modified timestamp, layout array<struct<name:string,type:string>>"
 
 
-def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark.sql.pandas.types import from_arrow_schema
+def _footer_reader():
+    """The task's function, pickled with its code: executors need pyarrow, not this package."""
 
-    for b in batches:
-        content = b.column(3)
-        out = []
-        for i in range(b.num_rows):
-            schema = from_arrow_schema(pq.read_schema(pa.py_buffer(content[i].as_buffer())), prefer_timestamp_ntz=True)
-            out.append([{"name": f.name, "type": f.dataType.simpleString()} for f in schema.fields])
-        kind = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, kind)], ["file_path", "length", "modified", "layout"])
+    def layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as arrow
+        import pyarrow.parquet as parquet
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        kind = arrow.list_(arrow.struct([("name", arrow.string()), ("type", arrow.string())]))
+        for b in batches:
+            content, out = b.column(3), []
+            for i in range(b.num_rows):
+                schema = from_arrow_schema(parquet.read_schema(arrow.py_buffer(content[i].as_buffer())), prefer_timestamp_ntz=True)
+                out.append([{"name": f.name, "type": f.dataType.simpleString()} for f in schema.fields])
+            yield arrow.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), arrow.array(out, kind)], ["file_path", "length", "modified", "layout"])
+
+    return layouts
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -47,13 +52,13 @@ def footer_layouts(spark: SparkSession, path: str, ledger: str | None = None) ->
     """``(file_path, length, modified, layout)`` of every file below ``path``; those in the ledger are not read again."""
     listed = _files(spark, path).select(*_keys())
     if ledger is None or table_schema(spark, ledger) is None:
-        return _files(spark, path).select(*_keys(), "content").mapInArrow(_layouts, LAYOUT)
+        return _files(spark, path).select(*_keys(), "content").mapInArrow(_footer_reader(), LAYOUT)
     known = spark.read.schema(LAYOUT).parquet(ledger).select(*KEYS, "layout").dropDuplicates(KEYS)
     unseen = [r.file_path for r in listed.join(known.select(*KEYS), KEYS, "left_anti").select("file_path").collect()]  # files that no load of ours wrote
     old = listed.join(known, KEYS)
     if not unseen:
         return old
-    new = spark.read.format("binaryFile").load(unseen).select(*_keys(), "content").mapInArrow(_layouts, LAYOUT)
+    new = spark.read.format("binaryFile").load(unseen).select(*_keys(), "content").mapInArrow(_footer_reader(), LAYOUT)
     return old.unionByName(new)
 
 
