@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from obsgate.llm import decontaminate as D
@@ -95,7 +96,7 @@ def test_documents_shorter_than_an_item(spark):
                 sim = sum(w[k] * min(x.count(k), y.count(k)) for k in w) / sum(w[k] * max(x.count(k), y.count(k)) for k in w)
                 if sim >= 0.8:
                     want[i, item] = sim
-    got = D.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), radius=27).collect()
+    got = D.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), radius=135).collect()
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
     assert sum(len(D.normal_words(dict(rows)[i])) < len(items[k][1].split()) for i, k in want) > 10 and (1000, 0) in want
     assert all(r.n_words == 56 and r.word_start == 0 for r in got if r.doc_id == 1000)
@@ -104,15 +105,56 @@ def test_documents_shorter_than_an_item(spark):
 def test_block_tables_find_all_within_radius():
     rng = np.random.default_rng(1)
     items = D.Items([(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(40)])
-    flips = rng.integers(0, 24, 4000)
+    flips = rng.integers(0, 90, 4000)
+    flips[:1500] = items.radius
     owner = rng.integers(0, 40, 4000)
     prints = items.prints[owner].copy()
     for k, n in enumerate(flips):
-        for b in rng.choice(64, n, replace=False):
-            prints[k] ^= np.uint64(1) << np.uint64(b)
+        for b in rng.choice(D.BITS, n, replace=False):
+            prints[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        if k % 2 and n == items.radius:  # the flips dealt evenly, as bad as they can lie
+            prints[k] = items.prints[owner[k]]
+            for b in [x * 16 + y for x in range(D.BLOCKS) for y in rng.choice(16, 4, replace=False)][:n]:
+                prints[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
     got = set(zip(*(x.tolist() for x in items.within(prints, 9))))
-    want = {(w, i) for w in range(4000) for i in np.flatnonzero(np.bitwise_count(prints[w] ^ items.prints) <= items.radius).tolist()}
-    assert got == want
+    want = {(w, i) for w in range(4000) for i in np.flatnonzero(D.distance(prints[w], items.prints) <= items.radius).tolist()}
+    assert got == want and len(want) > 3000
+
+
+def test_block_tables_leave_most_items_out():
+    rng = np.random.default_rng(2)
+    items = D.Items([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(200)])
+    prints = rng.integers(0, 2**64, (2000, D.BITS // 64), np.uint64)
+    w, i = items.named(prints, np.ones(200, bool))
+    assert len(w) < 0.05 * 200 * 2000 and len(set(zip(w.tolist(), i.tolist()))) == len(w)
+
+
+def test_filter_of_known_shingles():
+    h = np.random.default_rng(3).integers(0, 2**64, 200_000, np.uint64)
+    known = D.Known(20_000)
+    known.add(h[:20_000])
+    has = known.has(h)
+    assert has[:20_000].all() and has[20_000:].sum() < 400
+
+
+def test_regions_are_cut_without_losing_windows(spark):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([59, 23, 6])]
+    rows = [(1, " ".join(items[0][1] if k % 3 else items[1][1] for k in range(150))), (2, " ".join([items[1][1]] * 400)), (3, " ".join(word() for _ in range(9000)))]
+    assert len(rows[1][1].split()) > 2 * D.PIECE
+    got = D.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = windows_by_hand(rows, items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()} and len(want) == 3
+    cut = [r["n"] for r in (b for part in D._regions(iter([pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})]), *known_of(items), 0.8) for b in ({"n": len(x) // 8} for x in part.column(3).to_pylist()))]
+    assert len(cut) > 3 and max(cut) <= D.PIECE + 59 - D.SHINGLE
+
+
+def known_of(items):
+    own = D.Items(items)
+    known = D.Known(len(own.known))
+    known.add(own.known)
+    return known, np.unique(own.sizes)
 
 
 def test_radius_reaches_the_threshold():
