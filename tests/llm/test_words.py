@@ -11,6 +11,7 @@ from obsgate.llm import common as C
 from obsgate.llm import fragments as P
 from obsgate.llm.components import components
 from obsgate.llm.decontaminate import drop_contaminated
+from obsgate.llm import jaccard_join as J
 from obsgate.llm.jaccard_join import frequent_keys, jaccard_components, one_per_group
 from obsgate.llm.quality_rules import keep_good, longest_repeats, quality_rules
 from obsgate.llm.substring_dedup import substring_dedup
@@ -239,6 +240,38 @@ def test_jaccard_large_groups(spark):
         assert got == components_by_hand(rows)
 
 
+def test_jaccard_shared_passage(spark):
+    """Documents of one passage and own words in all proportions: long lists that hold many components."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(i, " ".join(passage[rng.randrange(3):] + [f"o{i}-{j}" for j in range(rng.randrange(50))])) for i in range(140)]
+    rows += [(1000 + i, " ".join([f"h{i % 9}-{j}" for j in range(rng.randrange(25))] + passage)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = components_by_hand(rows)
+    assert len({c for _, _, c in want}) > 20
+    for many in (2, 32):
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df, many=many).collect()} == want
+
+
+def test_long_lists_meet_by_size(spark, monkeypatch):
+    """Cells of any size give just the pairs that the bounds allow; the leaders' pairs are among them."""
+    monkeypatch.setattr(J, "CELL", 3)
+    rng = random.Random(2)
+    nodes = [(i, n := rng.randint(10, 400), n - rng.randrange(n // 5 + 1), rng.choice((i, 500, 500, 501))) for i in range(300)]
+    held = spark.createDataFrame([(i % 2, i, n, rest) for i, n, rest, _ in nodes], "list long, node long, n long, rest long")
+    groups = spark.createDataFrame([(i, c) for i, _, _, c in nodes], "node long, component long")
+    firsts = spark.createDataFrame([(i, [0] * 16) for i, *_ in nodes], "node long, bits array<long>")
+    rows = J._open_lists(held, groups, firsts, 80)
+    able = lambda a, b: min(a[2], b[2]) * 180 >= 80 * (a[1] + b[1])
+    own = {x: Counter(c for i, _, _, c in nodes if i % 2 == x).most_common(1)[0][0] for x in (0, 1)}
+    want = {(a[0], b[0], a[1], b[1]) for a in nodes for b in nodes if a[0] < b[0] and a[0] % 2 == b[0] % 2 and a[3] != b[3]
+            and min(a[1], b[1]) * 100 >= 80 * max(a[1], b[1]) and able(a, b) and not a[3] == b[3] == own[a[0] % 2]}
+    got = [tuple(r) for r in J._in_cells(rows, 80).collect()]
+    assert len(want) > 500 and set(got) == want and len(got) == len(want)
+    led = {tuple(r) for r in J._with_leaders(rows, 80).collect()}
+    assert led and led < want
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 130)] + [(5, i) for i in range(6, 40)] + [(39, 131), (7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
