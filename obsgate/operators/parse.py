@@ -46,17 +46,17 @@ def _lit(text: str) -> str:
 
 
 def _layout_exprs(tok: str, layout: Layout, prefix: str) -> dict[str, str]:
-    """SQL for the typed columns plus arity and type flags of one layout's tokens."""
-    out, failed = {}, []
-    for name, dtype in layout.fields:
-        v, bad = typed_token_sql(f"{_q(tok)}.{_q(name)}", dtype)
-        out[prefix + name] = v
-        failed.append(bad)
+    """SQL for the typed columns plus the arity flag of one layout's tokens."""
+    out = {prefix + name: typed_token_sql(f"{_q(tok)}.{_q(name)}", dtype)[0] for name, dtype in layout.fields}
     out[prefix + "arity"] = f"({_q(tok)}.{_q(CORRUPT)} IS NOT NULL)"
-    out[prefix + "type"] = "(" + " OR ".join(failed) + ")"
     return out
 
 
+def _type_flag(tok: str, layout: Layout, prefix: str) -> str:
+    """SQL for the type flag, from tokens and their typed values: each token is typed once."""
+    return "(" + " OR ".join(f"({_q(tok)}.{_q(n)} IS NOT NULL AND {_q(prefix + n)} IS NULL)" for n in layout.names) + ")"
+
+
 def parse_by_layout(
     df: DataFrame,
     layouts: Mapping[str, Layout],
@@ -112,9 +112,12 @@ def parse_by_layout(
     for i, (key, layout) in enumerate(layouts.items()):
         prefixes[key] = f"__p{i}_"
         typed.update(_layout_exprs(tok_cols[key][0], layout, prefixes[key]))
-    drop = {n for n, _ in tok_cols.values()} | {"__line"}
+    toks = {n for n, _ in tok_cols.values()}
     inline = "inline(array(struct(" + ", ".join(f"{e} AS {_q(n)}" for n, e in typed.items()) + ")))"
-    lines = lines.select(*[F.col(_q(c)) for c in lines.columns if c not in drop], F.expr(inline))
+    lines = lines.select(*[F.col(_q(c)) for c in lines.columns if c != "__line"], F.expr(inline))
+    flags = {prefixes[key] + "type": _type_flag(tok_cols[key][0], layout, prefixes[key]) for key, layout in layouts.items()}
+    lines = lines.selectExpr(*[_q(c) for c in lines.columns if c not in toks], *[f"{e} AS {_q(n)}" for n, e in flags.items()])
+    typed |= flags
 
     def pick(get) -> str:
         if layout_col is None:

@@ -34,3 +34,12 @@ def test_lines_take_no_regular_expression_over_their_path(spark, tmp_path, unit)
     lines = read_lines(spark, str(tmp_path) if unit == "folder" else f"{tmp_path}/*", unit=unit)
     assert "regexp" not in lines._jdf.queryExecution().analyzed().toString()
     assert sorted(r.value for r in lines.collect()) == ["1", "2"]
+
+
+def test_tokens_are_typed_once(lines_of):
+    from obsgate.operators.parse import parse_lines
+    from obsgate.sources.registry import TEMPERATURE
+
+    parsed = parse_lines(lines_of({"a.txt": "2017\t1\t2\t1.0\t2.0\tx\t4.0\t5.0\t6.0"}), TEMPERATURE)
+    assert parsed._jdf.queryExecution().analyzed().toString().count("RLIKE") == 4  # year, month, day; the line itself
+    assert [r["_error_class"] for r in parsed.collect()] == ["TYPE"]
