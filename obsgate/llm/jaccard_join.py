@@ -23,7 +23,10 @@ lower case; fewer words: the whole sequence is one). Two documents link when
    (each ``GROWTH`` times the one before). First with one document of each class,
    the one that admits the largest partners; then those still apart with all of
    the class, as far as the sets' bitmaps allow the overlap. Every linked pair is
-   thus either tested or already connected.
+   thus either tested or already connected, which is all that components need.
+   Where the links themselves are asked for (``every``), all pairs of a long list
+   whose sizes, places and bitmaps allow the overlap are tested instead: the
+   documents of a list are cut into blocks, and each two blocks meet in one cell.
 4. Overlaps: the n-grams of the paired documents are cut into vertical fragments
    of the global order. Each counts its part of the overlap of every pair, and
    the parts are summed per pair. This count is exact.
@@ -32,7 +35,9 @@ lower case; fewer words: the whole sequence is one). Two documents link when
 Scale: postings travel packed, a row per slice and fragment. Pairs of one
 neighbourhood are counted in one bucket, so that a set is sent once for all of
 them; large neighbourhoods are split, a node's partners into blocks of ``BLOCK``.
-A class of a long list is cut into cells of ``CELL`` documents on both sides.
+A class of a long list is cut into cells of ``CELL`` documents on both sides;
+for all its pairs the list is. Lists with the same smallest node share a bucket,
+where a pair that several of them hold is kept once.
 Fragments, blocks, cells and buckets are as many as the data needs.
 
 Rows are told apart by their sets, so those without an id link like all others; their texts are found again by hash.
@@ -66,6 +71,7 @@ FREQUENT = 500_000  # n-grams in the order's last part, at most
 BLOCK, VERTICAL = 256, 4
 GROWTH = 1.05  # sizes of neighbouring classes of a long list
 CELL = 2_000  # documents a side of a cell of such a class
+LIST_ROWS, LIST_PAIRS = 100_000, 4_000_000  # rows and pairs of long lists a bucket, when all their pairs are tested
 PAIRS_PER_BUCKET = 1_000
 KEY_BITS = 24
 BITMAP = 1_024  # bits of a set's bitmap
@@ -210,7 +216,7 @@ def _postings(table: pa.Table) -> tuple[np.ndarray, ...]:
     size = np.zeros(len(uniq), np.int64)
     size[inv] = sizes
     d = inv.astype(np.int32)[d]
-    o = np.lexsort((d, h))
+    o = np.lexsort((at, d, h))
     h, d, at = h[o], d[o], at[o]
     once = np.ones(len(h), bool)
     once[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
@@ -381,9 +387,65 @@ def _in_cells(rows: DataFrame, pct: int) -> DataFrame:
     return _as_pairs(x.join(y, [*place, "bx", "by"]).filter((F.col("settled") | (F.col("x.node") < F.col("y.node"))) & _able(pct)))
 
 
-def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, pct: int = PCT, many: int = MANY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(sets, links, groups)``: node and size of every row's set; tested links ``(a, b, na, nb, both)`` between
-    nodes; the components of the nodes that have a link."""
+def _meet(rows: pa.Table, pct: int) -> pa.Table:
+    """The pairs of a bucket's cells that sizes, places and bitmaps allow, each once."""
+    C.lean()
+    rows = rows.sort_by([("list", "ascending"), ("bx", "ascending"), ("by", "ascending"), ("n", "ascending")])
+    lst, bx, by, own, node, n, rest = (rows.column(c).to_numpy() for c in ("list", "bx", "by", "own", "node", "n", "rest"))
+    bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+    new = np.flatnonzero((lst[1:] != lst[:-1]) | (bx[1:] != bx[:-1]) | (by[1:] != by[:-1])) + 1
+    uniq, at = np.unique(node, return_inverse=True)
+    size = np.zeros(len(uniq), np.int64)
+    size[at] = n
+    found, held = [], 0
+    for lo, hi in zip(np.append(0, new), np.append(new, len(node))):
+        high = rest[lo:hi] * (100 + pct) // pct - n[lo:hi]  # the largest partner's size
+        ends = lo + np.searchsorted(n[lo:hi], high, "right")
+        for i in range(lo, hi):
+            j = np.arange(i + 1, max(ends[i - lo], i + 1))
+            least = pct * (n[i] + n[j])
+            ok = np.minimum(rest[i], rest[j]) * (100 + pct) >= least
+            if bx[i] != by[i]:
+                ok &= own[i] != own[j]
+            j, least = j[ok], least[ok]
+            if not len(j):
+                continue
+            same = np.bitwise_count(bits[j] & bits[i]).sum(axis=1, dtype=np.int64)
+            mine, theirs = int(np.bitwise_count(bits[i]).sum()), np.bitwise_count(bits[j]).sum(axis=1, dtype=np.int64)
+            both = np.minimum(n[i] - (mine - same), n[j] - (theirs - same))  # at most
+            j = j[both * (100 + pct) >= least]
+            found.append(np.minimum(at[i], at[j]) * len(uniq) + np.maximum(at[i], at[j]))
+            held += len(j)
+            if held > 4_000_000:
+                found = [np.unique(np.concatenate(found))]
+                held = 0
+    a, b = divmod(np.unique(np.concatenate([np.zeros(0, np.int64), *found])), max(len(uniq), 1))
+    return pa.table([pa.array(x) for x in (uniq[a], uniq[b], size[a], size[b])], ["a", "b", "na", "nb"])
+
+
+def _all_pairs(held: DataFrame, firsts: DataFrame, pct: int) -> DataFrame:
+    """All pairs of the long lists' documents that may link."""
+    able = held.filter(F.col("rest") * (100 + pct) >= F.ceil(F.col("n") * pct / 100) * pct + F.col("n") * pct)
+    lists = able.groupBy("list").agg(F.min("node").alias("lead"), F.count("*").alias("m")).filter("m > 1")
+    # blocks by powers of two, so that lists of like sizes have the same ones
+    lists = lists.withColumn("blocks", F.expr(f"cast(pow(2, ceil(log2(greatest(m / {CELL}, 1)))) as long)"))
+    block = F.least(F.col("m"), F.lit(CELL))
+    shares = F.ceil(F.greatest(F.sum("m") / LIST_ROWS, F.sum(block * block) / LIST_PAIRS)).cast("long")
+    leads = lists.groupBy("lead").agg(shares.alias("shares"))
+    lists = C.stage(lists.join(leads, "lead"), "jaccard-lists")
+    total = lists.agg(F.sum(F.col("m") * F.col("blocks")), F.sum(F.col("m").cast("double") * F.col("m"))).first()
+    buckets = max(C.n_partitions(held, total[0] or 0, LIST_ROWS), int((total[1] or 0) / 2 // LIST_PAIRS) + 1)
+    rows = able.join(lists, "list").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    rows = rows.withColumns({"bx": F.least("own", "other"), "by": F.greatest("own", "other")})
+    cell = F.xxhash64("lead", "bx", "by", F.pmod(F.xxhash64("list"), F.col("shares")))
+    rows = rows.join(firsts.select("node", "bits"), "node").select("list", "bx", "by", "own", "node", "n", "rest", "bits", F.pmod(cell, F.lit(buckets)).alias("bucket"))
+    return rows.groupBy("bucket").applyInArrow(lambda t: _meet(t, pct), "a long, b long, na long, nb long")
+
+
+def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, pct: int = PCT, many: int = MANY, every: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(sets, links, groups)``: node and size of every row's set; the links ``(a, b, na, nb, both)`` between
+    nodes, ``every`` one or those that connect the components; the components of the nodes that have a link."""
     spark = df.sparkSession
     # one row of each set is looked up again: by id, or by the text's hash if there is none
     docs = C.documents(df, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "text")))
@@ -398,12 +460,20 @@ def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = C.stage(posts.groupBy("frag").applyInArrow(lambda t: _candidates(t, pct, many), CANDIDATES), "jaccard-candidates")
     pairs = C.stage(found.filter("list IS NULL").select("a", "b", "na", "nb").distinct(), "jaccard-tested")
     links = _links(pairs, docs, firsts, k, pct, frequent, count_bits)
-    groups = components(links)
 
-    # long lists whose documents are not yet all connected
+    # long lists
     # (a pair's ``b`` is no place: filters on ``rest`` may be run before the one on ``list``)
     rest = F.when(F.col("b").between(0, F.col("na")), F.col("na") - F.col("b"))
     held = found.filter("list IS NOT NULL").select("list", F.col("a").alias("node"), F.col("na").alias("n"), rest.alias("rest"))
+    if every:
+        more = C.stage(_all_pairs(held, firsts, pct).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-more")
+        if not more.isEmpty():
+            links = links.unionByName(_links(more, docs, firsts, k, pct, frequent, count_bits))
+        groups = components(links)
+        C.release(found, pairs, more)
+        return sets, links, groups
+    # those whose documents are not yet all connected
+    groups = components(links)
     tested = [pairs]
     for meet in (_with_leaders, _in_cells):
         rows = _open_lists(held, groups, firsts, pct)
@@ -437,7 +507,7 @@ def _judged(df: DataFrame, **options) -> DataFrame:
 
 
 def jaccard_components(df: DataFrame, **options) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and the number of ``links`` of its set to other sets tested."""
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and the number of ``links`` of its set to other sets."""
     return _judged(df, **options).select("doc_id", "n_shingles", "component_id", "links")
 
 
@@ -450,7 +520,7 @@ def _with_node(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
 def one_per_group(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, **options) -> DataFrame:
     """``df`` with one document of each component, the one with the smallest id; rows without id stay. Rows that share
     an id are judged by their own sets."""
-    judged = _judged(df, id_col=id_col, text_col=text_col, k=k, **options).filter("doc_id IS NOT NULL")
+    judged = _judged(df, id_col=id_col, text_col=text_col, k=k, **{"every": False, **options}).filter("doc_id IS NOT NULL")
     groups = C.stage(judged.select("doc_id", "node", "component", "component_id"), "jaccard-groups")
     again = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     out = groups.filter("component_id <> doc_id").select("doc_id").distinct()

@@ -253,6 +253,31 @@ def test_jaccard_shared_passage(spark):
         assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df, many=many).collect()} == want
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    """Near copies over the pairing limit: each one's links to all others, also where lists are cut into blocks."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(130):
+        ws = base[rng.randrange(4) : 90 - rng.randrange(9)]
+        for _ in range(rng.randint(0, 3)):
+            ws[rng.randrange(len(ws))] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(ws)))
+    rows += [(500 + i, t) for i, t in rows[:10]]  # copies
+    sets = {i: frozenset(tuple(ws[j : j + 5]) for j in range(len(ws) - 4)) for i, t in rows for ws in [t.split()]}
+    distinct = set(sets.values())
+    degree = {x: sum(x != y and 100 * len(x & y) >= 80 * len(x | y) for y in distinct) for x in distinct}
+    want = {(i, degree[s]) for i, s in sets.items()}
+    assert max(d for _, d in want) > 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(J, "CELL", 30)
+    monkeypatch.setattr(J, "LIST_ROWS", 200)
+    for many in (4, 32):
+        got = jaccard_components(df, many=many).collect()
+        assert {(r.doc_id, r.links) for r in got} == want
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == components_by_hand(rows)
+
+
 def test_long_lists_meet_by_size(spark, monkeypatch):
     """Cells of any size give just the pairs that the bounds allow; the leaders' pairs are among them."""
     monkeypatch.setattr(J, "CELL", 3)
