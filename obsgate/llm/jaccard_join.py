@@ -24,13 +24,21 @@ lower case; fewer words: the whole sequence is one). Two documents link when
    the one that admits the largest partners; then those still apart with all of
    the class, as far as the sets' bitmaps allow the overlap. Every linked pair is
    thus either tested or already connected, which is all that components need.
-   Where the links themselves are asked for (``every``), all pairs of a long list
+   Where the links themselves are asked for (``jaccard_links`` with ``every``), all pairs of a long list
    whose sizes, places and bitmaps allow the overlap are tested instead: the
    documents of a list are cut into blocks, and each two blocks meet in one cell.
 4. Overlaps: the n-grams of the paired documents are cut into vertical fragments
    of the global order. Each counts its part of the overlap of every pair, and
    the parts are summed per pair. This count is exact.
 5. Components of the links; every copy gets its set's component.
+6. Numbers of links: a link with an end outside the long lists has been tested in
+   step 3 and is counted there. Two documents of long lists meet again if they
+   are of one component, in just one cell: the task sums the overlaps of the
+   cell's pairs over the vertical fragments and returns a number of links per
+   document. No pair of theirs becomes a row; a component of up to ``CELL``
+   documents is one cell, so each document is sent once. Larger ones are cut by
+   classes of sizes, of which only neighbouring ones can link, and into blocks.
+   The comparisons within a component remain as many as its pairs of like sizes.
 
 Scale: postings travel packed, a row per slice and fragment. Pairs of one
 neighbourhood are counted in one bucket, so that a set is sent once for all of
@@ -52,6 +60,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +80,7 @@ FREQUENT = 500_000  # n-grams in the order's last part, at most
 BLOCK, VERTICAL = 256, 4
 GROWTH = 1.05  # sizes of neighbouring classes of a long list
 CELL = 2_000  # documents a side of a cell of such a class
+CELL_GRAMS = 1_000_000  # n-grams a side of a cell, and of a bucket of cells, when links are counted
 LIST_ROWS, LIST_PAIRS = 100_000, 4_000_000  # rows and pairs of long lists a bucket, when all their pairs are tested
 PAIRS_PER_BUCKET = 1_000
 KEY_BITS = 24
@@ -318,12 +328,18 @@ def _dealt(pairs: DataFrame) -> DataFrame:
     return C.stage(known.join(sizes, "hood").select("a", "b", "na", "nb", F.pmod(cell, F.lit(buckets)).alias("bucket")), "jaccard-pairs")
 
 
+def _segments_of(docs: DataFrame, needs: DataFrame, k: int, pct: int, frequent, count_bits: int) -> DataFrame:
+    """The vertical fragments of the nodes ``(node, key, buckets)``."""
+    rows = docs.join(needs, "key").select("doc_id", "text", "node", "buckets")
+    return rows.mapInArrow(lambda it: _segments(it, k, frequent, count_bits, VERTICAL), "bucket long, g long, node long, segment binary")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, pct: int, frequent, count_bits: int) -> DataFrame:
     """The pairs that link, by overlaps counted per vertical fragment."""
     dealt = _dealt(pairs)
     needs = dealt.select(F.explode(F.array("a", "b")).alias("node"), "bucket").groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
     needs = needs.join(firsts.select("node", "key"), "node")
-    segments = docs.join(needs, "key").select("doc_id", "text", "node", "buckets").mapInArrow(lambda it: _segments(it, k, frequent, count_bits, VERTICAL), "bucket long, g long, node long, segment binary")
+    segments = _segments_of(docs, needs, k, pct, frequent, count_bits)
     spread = dealt.withColumn("g", F.explode(F.array(*[F.lit(g).cast("long") for g in range(VERTICAL)])))
     parts = spread.groupBy("bucket", "g").cogroup(segments.groupBy("bucket", "g")).applyInArrow(lambda x, y: _overlaps(x, y), "a long, b long, na long, nb long, both long")
     sums = parts.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
@@ -423,9 +439,14 @@ def _meet(rows: pa.Table, pct: int) -> pa.Table:
     return pa.table([pa.array(x) for x in (uniq[a], uniq[b], size[a], size[b])], ["a", "b", "na", "nb"])
 
 
+def _able_alone(pct: int) -> Column:
+    """Can a row of a long list have any partner there?"""
+    return F.col("rest") * (100 + pct) >= F.ceil(F.col("n") * pct / 100) * pct + F.col("n") * pct
+
+
 def _all_pairs(held: DataFrame, firsts: DataFrame, pct: int) -> DataFrame:
     """All pairs of the long lists' documents that may link."""
-    able = held.filter(F.col("rest") * (100 + pct) >= F.ceil(F.col("n") * pct / 100) * pct + F.col("n") * pct)
+    able = held.filter(_able_alone(pct))
     lists = able.groupBy("list").agg(F.min("node").alias("lead"), F.count("*").alias("m")).filter("m > 1")
     # blocks by powers of two, so that lists of like sizes have the same ones
     lists = lists.withColumn("blocks", F.expr(f"cast(pow(2, ceil(log2(greatest(m / {CELL}, 1)))) as long)"))
@@ -443,9 +464,126 @@ def _all_pairs(held: DataFrame, firsts: DataFrame, pct: int) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(lambda t: _meet(t, pct), "a long, b long, na long, nb long")
 
 
-def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, pct: int = PCT, many: int = MANY, every: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(sets, links, groups)``: node and size of every row's set; the links ``(a, b, na, nb, both)`` between
-    nodes, ``every`` one or those that connect the components; the components of the nodes that have a link."""
+# --- numbers of links
+
+
+def _places(crowd: DataFrame, pct: int) -> DataFrame:
+    """The cells of each node ``(node, n, component)``: any two of a component whose sizes may link share exactly one.
+    Nodes of ``side`` false meet those of ``side`` true; if ``same``, all nodes of the cell meet."""
+    sizes = crowd.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("grams")).filter("m > 1")
+    whole = (F.col("m") <= CELL) & (F.col("grams") <= CELL_GRAMS)
+    # a little wider than linked sizes can be apart
+    cls = F.when(whole, 0).otherwise(F.floor(F.log("n") / math.log(101 / pct)))
+    rows = crowd.join(sizes, "component").select("component", "node", "n", cls.cast("long").alias("cls"))
+    blocks = rows.groupBy("component", "cls").agg(F.ceil(F.greatest(F.count("*") / CELL, F.sum("n") / CELL_GRAMS)).cast("long").alias("blocks"))
+    rows = rows.join(blocks, ["component", "cls"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("blocks")
+    rows = rows.withColumn("step", F.explode(F.array(*[F.lit(d).cast("long") for d in (-1, 0, 1)]))).withColumn("with", F.col("cls") + F.col("step"))
+    rows = rows.join(blocks.withColumnRenamed("cls", "with"), ["component", "with"]).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    pair = lambda low, mid, high: F.when(F.col("step") < 0, low).when(F.col("step") > 0, high).otherwise(mid)
+    bx = pair(F.col("other"), F.least("own", "other"), F.col("own"))
+    by = pair(F.col("own"), F.greatest("own", "other"), F.col("other"))
+    same = (F.col("step") == 0) & (F.col("own") == F.col("other"))
+    side = pair(F.lit(True), F.col("own") > F.col("other"), F.lit(False))
+    cell = F.xxhash64("component", F.least("cls", "with"), F.col("step") == 0, bx, by)
+    return rows.select("node", "n", cell.alias("cell"), same.alias("same"), side.alias("side"))
+
+
+def _add_overlaps(both: np.ndarray, xs: list[np.ndarray], ys: list[np.ndarray] | None, first: np.ndarray, last: np.ndarray) -> None:
+    """Add the overlap of each of ``xs`` with its range of ``ys`` (none: of ``xs``)."""
+    sets = xs if ys is None else xs + ys
+    flat = np.concatenate(sets)
+    if not len(flat):
+        return
+    _, ids, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    keep = counts[ids] > 1
+    edge = np.append(0, np.cumsum(keep))[np.append(0, np.cumsum([len(x) for x in sets]))]
+    ids = ids[keep].astype(np.int32)
+    mark = np.zeros(len(counts), np.int8)
+    base = 0 if ys is None else len(xs)
+    for i in range(len(xs)):
+        lo, hi = first[i], last[i]
+        mine = ids[edge[i] : edge[i + 1]]
+        if lo >= hi or not len(mine):
+            continue
+        mark[mine] = 1
+        ends = edge[base + lo : base + hi + 1]
+        sums = np.append(0, np.cumsum(mark[ids[ends[0] : ends[-1]]], dtype=np.int64))[ends - ends[0]]
+        both[i, lo:hi] += np.diff(sums).astype(np.int32)
+        mark[mine] = 0
+
+
+def _count_links(places: pa.Table, segments: pa.Table, pct: int) -> pa.Table:
+    """Each node's number of links within the cells of a bucket: overlaps summed over the vertical fragments."""
+    C.lean()
+    of: list[dict[int, np.ndarray]] = [{} for _ in range(VERTICAL)]
+    for g, d, x in zip(*(segments.column(c).to_pylist() for c in ("g", "node", "segment"))):
+        of[g][d] = np.frombuffer(x, np.uint64)
+    places = places.sort_by([("cell", "ascending"), ("n", "ascending")])
+    cell, node, n = (places.column(c).to_numpy() for c in ("cell", "node", "n"))
+    same, side = (np.array(places.column(c).to_pylist(), bool) for c in ("same", "side"))
+    uniq, at = np.unique(node, return_inverse=True)
+    degree, none = np.zeros(len(uniq), np.int64), np.zeros(0, np.uint64)
+    for lo, m in zip(*P.runs(cell)):
+        rows = np.arange(lo, lo + m)
+        x, y = (rows, rows) if same[lo] else (rows[~side[rows]], rows[side[rows]])
+        if not len(x) or not len(y):
+            continue
+        first = np.searchsorted(n[y], -(-pct * n[x] // 100), "left")
+        last = np.searchsorted(n[y], 100 * n[x] // pct, "right")
+        if same[lo]:
+            first = np.maximum(first, np.arange(1, len(x) + 1))
+        both = np.zeros((len(x), len(y)), np.int32)
+        for part in of:
+            sets = [[part.get(d, none) for d in node[z].tolist()] for z in (x, y)]
+            _add_overlaps(both, sets[0], None if same[lo] else sets[1], first, last)
+        theirs = np.zeros(len(y), np.int64)
+        for i, row in enumerate(both):
+            linked = row.astype(np.int64) * (100 + pct) >= pct * (n[x[i]] + n[y])
+            degree[at[x[i]]] += int(linked.sum())
+            theirs += linked
+        np.add.at(degree, at[y], theirs)
+    return pa.table([pa.array(uniq), pa.array(degree)], ["node", "links"])
+
+
+class _Tested(NamedTuple):
+    """What the join has after its first round."""
+
+    sets: DataFrame  # node and size of every row's set
+    docs: DataFrame
+    firsts: DataFrame  # the row at which a node's set is found again
+    found: DataFrame
+    held: DataFrame  # rows of long lists
+    pairs: DataFrame
+    links: DataFrame
+    order: tuple  # k, pct, and the global order
+
+
+def _degrees(t: _Tested, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(node, links)``: the number of all links of each node that has one."""
+    ends = lambda df: df.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("links"))
+    pct = t.order[1]
+    crowd = t.held.filter(_able_alone(pct)).select("node", "n").distinct().join(groups, "node")
+    places = C.stage(_places(crowd, pct), "jaccard-places")
+    total = places.agg(F.count("*").alias("rows"), F.sum("n").alias("grams")).first()
+    if not total["rows"]:
+        C.release(places)
+        return ends(links).groupBy("node").agg(F.sum("links").alias("links"))
+    buckets = max(C.n_partitions(places, total["rows"], LIST_ROWS), -(-total["grams"] // CELL_GRAMS))
+    dealt = places.withColumn("bucket", F.pmod("cell", F.lit(buckets)))
+    needs = dealt.groupBy("node").agg(F.collect_set("bucket").alias("buckets")).join(t.firsts.select("node", "key"), "node")
+    counted = dealt.groupBy("bucket").cogroup(_segments_of(t.docs, needs, *t.order).groupBy("bucket")).applyInArrow(lambda x, y: _count_links(x, y, pct), "node long, links long")
+    inside = places.select("node").distinct()
+    met = lambda c: inside.select(F.col("node").alias(c), F.lit(True).alias(f"{c}_met"))
+    apart = links.select("a", "b").join(met("a"), "a", "left").join(met("b"), "b", "left").filter("a_met IS NULL OR b_met IS NULL")
+    out = C.stage(ends(apart).unionByName(counted).groupBy("node").agg(F.sum("links").alias("links")), "jaccard-degrees")
+    C.release(places)
+    return out
+
+
+# --- the join
+
+
+def _first_round(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, pct: int = PCT, many: int = MANY) -> _Tested:
     spark = df.sparkSession
     # one row of each set is looked up again: by id, or by the text's hash if there is none
     docs = C.documents(df, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "text")))
@@ -460,23 +598,20 @@ def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = C.stage(posts.groupBy("frag").applyInArrow(lambda t: _candidates(t, pct, many), CANDIDATES), "jaccard-candidates")
     pairs = C.stage(found.filter("list IS NULL").select("a", "b", "na", "nb").distinct(), "jaccard-tested")
     links = _links(pairs, docs, firsts, k, pct, frequent, count_bits)
-
-    # long lists
     # (a pair's ``b`` is no place: filters on ``rest`` may be run before the one on ``list``)
     rest = F.when(F.col("b").between(0, F.col("na")), F.col("na") - F.col("b"))
     held = found.filter("list IS NOT NULL").select("list", F.col("a").alias("node"), F.col("na").alias("n"), rest.alias("rest"))
-    if every:
-        more = C.stage(_all_pairs(held, firsts, pct).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-more")
-        if not more.isEmpty():
-            links = links.unionByName(_links(more, docs, firsts, k, pct, frequent, count_bits))
-        groups = components(links)
-        C.release(found, pairs, more)
-        return sets, links, groups
-    # those whose documents are not yet all connected
-    groups = components(links)
-    tested = [pairs]
+    return _Tested(sets, docs, firsts, found, held, pairs, links, (k, pct, frequent, count_bits))
+
+
+def _connect(t: _Tested) -> tuple[DataFrame, DataFrame]:
+    """``(links, groups)``: links that connect the components, and these; documents of long lists that are not yet all
+    connected meet."""
+    pct = t.order[1]
+    links, groups = t.links, components(t.links)
+    tested = [t.pairs]
     for meet in (_with_leaders, _in_cells):
-        rows = _open_lists(held, groups, firsts, pct)
+        rows = _open_lists(t.held, groups, t.firsts, pct)
         if rows.isEmpty():
             C.release(rows)
             break
@@ -486,18 +621,39 @@ def jaccard_links(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         tested.append(C.stage(more, "jaccard-more"))
         C.release(rows)
         if not tested[-1].isEmpty():
-            late = _links(tested[-1], docs, firsts, k, pct, frequent, count_bits)
+            late = _links(tested[-1], t.docs, t.firsts, *t.order)
             if not late.isEmpty():
                 links = links.unionByName(late)
                 groups = components(links)
-    C.release(found, *tested)
-    return sets, links, groups
+    C.release(*tested)
+    return links, groups
 
 
-def _judged(df: DataFrame, **options) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, its set's node and component, ``component_id``, ``links``."""
-    sets, links, groups = jaccard_links(df, **options)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+def jaccard_links(df: DataFrame, *, every: bool = True, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(sets, links, groups)``: node and size of every row's set; the links ``(a, b, na, nb, both)`` between
+    nodes, ``every`` one or those that connect the components; the components of the nodes that have a link."""
+    t = _first_round(df, **options)
+    if every:
+        links = t.links
+        more = C.stage(_all_pairs(t.held, t.firsts, t.order[1]).distinct().join(t.pairs.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-more")
+        if not more.isEmpty():
+            links = links.unionByName(_links(more, t.docs, t.firsts, *t.order))
+        groups = components(links)
+        C.release(t.pairs, more)
+    else:
+        links, groups = _connect(t)
+    C.release(t.found)
+    return t.sets, links, groups
+
+
+def _judged(df: DataFrame, *, every: bool = True, **options) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, its set's node and component, ``component_id``, ``links`` (``every`` one
+    or those that connect the components)."""
+    t = _first_round(df, **options)
+    links, groups = _connect(t)
+    degree = _degrees(t, links, groups) if every else links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    C.release(t.found)
+    sets = t.sets
     nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
     nodes = nodes.join(groups, "node", "left").join(degree, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = nodes.groupBy("component").agg(F.min("first").alias("component_id"))

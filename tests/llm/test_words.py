@@ -297,6 +297,61 @@ def test_long_lists_meet_by_size(spark, monkeypatch):
     assert led and led < want
 
 
+def test_jaccard_counts_links_without_pairs(spark, monkeypatch):
+    """Near copies: pairs that become rows stay in proportion to the documents, their links are counted whole."""
+    base = [f"b{i}" for i in range(200)]
+    pairs, links_of = [], J._links
+
+    def noted(met, *a):
+        pairs.append(met.count())
+        return links_of(met, *a)
+
+    monkeypatch.setattr(J, "_links", noted)
+    made = {}
+    for m in (60, 240):
+        del pairs[:]
+        rows = [(i, " ".join(base[:i % 50] + [f"x{i}"] + base[i % 50 + 1:])) for i in range(m)]
+        got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+        assert {(r.component_id, r.links) for r in got} == {(0, m - 1)}
+        made[m] = sum(pairs)
+    assert made[240] < 20 * 240 and made[240] < 8 * made[60]
+
+
+def test_jaccard_counted_links_are_the_listed_ones(spark, monkeypatch):
+    """Number of links by cells of all sizes against the list of links, with short documents, copies and chains."""
+    rng = random.Random(12)
+    rows = []
+    for c in range(6):
+        ws = [f"c{c}-{i}" for i in range(rng.choice((12, 60, 150)))]
+        for _ in range(60):  # each near the one before
+            ws = list(ws) + [f"e{rng.randrange(10**6)}"] * rng.randrange(2)
+            if rng.random() < 0.5:
+                ws[rng.randrange(len(ws) // 2, len(ws))] = f"y{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(ws)))
+    rows += [(5000, rows[3][1]), (None, rows[3][1]), (None, rows[70][1] + " more"), (None, None), (5001, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets, links, _ = J.jaccard_links(df, many=8)
+    ends = Counter(d for r in links.collect() for d in (r.a, r.b))
+    want = Counter((r.doc_id, ends[r.node]) for r in sets.collect())
+    assert len(links.select("a", "b").distinct().collect()) * 2 == sum(ends.values())
+    for cell, grams in ((2_000, 1_000_000), (7, 1_000_000), (2_000, 3_000)):
+        monkeypatch.setattr(J, "CELL", cell)
+        monkeypatch.setattr(J, "CELL_GRAMS", grams)
+        assert Counter((r.doc_id, r.links) for r in jaccard_components(df, many=8).collect()) == want
+
+
+def test_nodes_of_like_sizes_share_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(J, "CELL", 20)
+    rng = random.Random(3)
+    nodes = [(i, rng.randint(1, 400), 900 + i // 200) for i in range(205)]
+    cells = defaultdict(list)
+    for r in J._places(spark.createDataFrame(nodes, "node long, n long, component long"), 80).collect():
+        cells[r.cell].append(r)
+    met = Counter((min(x.node, y.node), max(x.node, y.node)) for c in cells.values() for x in c for y in c if x.node != y.node and (x.same and x.node < y.node or not x.same and y.side and not x.side))
+    like = {(a[0], b[0]) for a in nodes for b in nodes if a[0] < b[0] and a[2] == b[2] and 100 * min(a[1], b[1]) >= 80 * max(a[1], b[1])}
+    assert set(met.values()) == {1} and like <= set(met) and all(nodes[a][2] == nodes[b][2] for a, b in met)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 130)] + [(5, i) for i in range(6, 40)] + [(39, 131), (7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
